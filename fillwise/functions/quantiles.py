@@ -22,11 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fillwise.functions.joins import lookup_join
+from fillwise.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
@@ -44,14 +44,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     for b in by:
         keyed = keyed.where(F.col(b).isNotNull())
     distinct = keyed.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    # A fixed slice count is a REPARTITION_BY_NUM shuffle: AQE neither coalesces
-    # nor splits it, so slice ids stay stable for both readers below.
-    # Both readers below must see the same slices, so the slice ids are cached with
-    # the rows: a lost cached block is rebuilt from the same shuffle dependency
-    # (same range bounds), which a second, independent range shuffle would not be.
-    ranged = (distinct.repartitionByRange(n_slices, *by, "_x")
-              .withColumn("_s", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    # Both readers below must see the same slices. The slice id is written with
+    # the rows by a reliable checkpoint (shared checkpoint folder), so neither a
+    # second range shuffle nor a lost executor can re-slice the data differently.
+    ranged = cut_lineage(distinct.repartitionByRange(n_slices, *by, "_x")
+                         .withColumn("_s", F.spark_partition_id()))
 
     by_group = Window.partitionBy(*by) if by else Window.partitionBy()
     ordered = by_group.orderBy("_s")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fillwise.config import (COHORT, DEFAULT, MONTH, PER_MILLION, REASON_FLAG, REASON_MISSING,
                              STATUS_NOWCASTED, STREAMS, TARGET, Params)
 from fillwise.functions.joins import attach_scalars
+from fillwise.functions.money import money_sum
 from fillwise.functions.quantiles import exact_quantiles, global_quantiles
 from fillwise.functions.safe import safe_div
 
@@ -58,9 +59,9 @@ def dsp_month_reliability(final: DataFrame, params: Params = DEFAULT) -> DataFra
     zero = F.lit(0.0)
     g = (final.groupBy(MONTH, "dsp")
          .agg(F.coalesce(F.sum(STREAMS), F.lit(0)).alias(STREAMS),
-              F.coalesce(F.sum("filled_revenue"), zero).alias("revenue_mid"),
-              F.coalesce(F.sum("nowcast_lower_90"), zero).alias("revenue_lower"),
-              F.coalesce(F.sum("nowcast_upper_90"), zero).alias("revenue_upper"),
+              F.coalesce(money_sum("filled_revenue"), zero).alias("revenue_mid"),
+              F.coalesce(money_sum("nowcast_lower_90"), zero).alias("revenue_lower"),
+              F.coalesce(money_sum("nowcast_upper_90"), zero).alias("revenue_upper"),
               F.count_if(F.col("value_status") == STATUS_NOWCASTED).alias("nowcast_rows"),
               F.count(F.lit(1)).alias("total_rows")))
     g = g.where(F.col(STREAMS) > 0)
@@ -83,9 +84,9 @@ def dsp_month_rps_band(final: DataFrame) -> DataFrame:
     g = (final.where(F.col(MONTH).isNotNull() & F.col("dsp").isNotNull())
          .groupBy(MONTH, "dsp")
          .agg(F.coalesce(F.sum(STREAMS), F.lit(0)).alias(STREAMS),
-              F.coalesce(F.sum("filled_revenue"), zero).alias("revenue_mid"),
-              F.coalesce(F.sum(lo), zero).alias("revenue_lower"),
-              F.coalesce(F.sum(hi), zero).alias("revenue_upper"),
+              F.coalesce(money_sum("filled_revenue"), zero).alias("revenue_mid"),
+              F.coalesce(money_sum(lo), zero).alias("revenue_lower"),
+              F.coalesce(money_sum(hi), zero).alias("revenue_upper"),
               F.count_if(nowc).alias("nowcast_rows"),
               F.count(F.lit(1)).alias("total_rows")))
     per_m = F.col(STREAMS) / F.lit(PER_MILLION)
@@ -127,8 +128,8 @@ def build_summary(final: DataFrame, group_cols: Sequence[str]) -> DataFrame:
         F.count_if(nowc & (F.col("nowcast_reason") == REASON_MISSING)).alias("reason_missing_or_zero"),
         F.count_if(nowc & (F.col("nowcast_reason") == REASON_FLAG)).alias("reason_quality_flag"),
         F.coalesce(F.sum(STREAMS), F.lit(0)).alias(STREAMS),
-        F.sum(F.coalesce(F.col(TARGET), F.lit(0.0))).alias("reported_revenue"),
-        F.coalesce(F.sum("filled_revenue"), F.lit(0.0)).alias("filled_revenue"))
+        money_sum(F.coalesce(F.col(TARGET), F.lit(0.0))).alias("reported_revenue"),
+        F.coalesce(money_sum("filled_revenue"), F.lit(0.0)).alias("filled_revenue"))
     return g.select(
         *group_cols, "total_rows",
         (F.col("total_rows") - F.col("nowcast_rows")).alias("actual_rows"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fillwise.config import (GRAIN, OTHER_DSP, OTHER_TERRITORY, REFERENCE_DSP_FAMILIES,
                              REFERENCE_TERRITORIES, STREAMS, TARGET)
 from fillwise.functions.joins import lookup_join
+from fillwise.functions.money import money_sum
 from fillwise.functions.safe import finite_or_null
 
 
@@ -37,17 +38,21 @@ def canonicalize_dsp(revenue: DataFrame, label_map: DataFrame, raw_col: str = "d
 
 
 def unmapped_labels(revenue: DataFrame, label_map: DataFrame, raw_col: str = "dsp") -> DataFrame:
-    """Raw labels that fell to Other, with their row counts."""
+    """Raw labels that fell to Other, with the revenue they carry."""
     lm = label_map.select(F.col("raw_dsp").alias(raw_col))
     return (lookup_join(revenue, lm, [raw_col], "left_anti", bound=10_000)
             .groupBy(F.col(raw_col).alias("raw_dsp"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+            .agg(money_sum(TARGET).alias(TARGET)))
 
 
 def revenue_by_grain(revenue_std: DataFrame) -> DataFrame:
-    """A1: revenue summed to the grain (NULL stays NULL for an all-NULL group)."""
+    """A1: revenue summed to the grain (NULL stays NULL for an all-NULL group).
+
+    The sum is exact (DECIMAL), so a cell's total does not depend on the order
+    its statement lines arrive in.
+    """
     return (revenue_std.groupBy(*GRAIN)
-            .agg(F.sum(finite_or_null(TARGET)).alias(TARGET)))
+            .agg(money_sum(finite_or_null(TARGET)).alias(TARGET)))
 
 
 def known_territories(revenue_agg: DataFrame) -> DataFrame:
@@ -132,9 +137,9 @@ def dq_checks(revenue: DataFrame, streams: DataFrame, panel: DataFrame, rel_tol:
     nulls = panel.agg(F.count_if(F.col("month").isNull() | F.col("business_unit").isNull()
                                  | F.col("territory_name").isNull() | F.col("dsp").isNull())
                       .alias("null_dimension_rows"))
-    src = revenue.agg(F.sum(TARGET).alias("source_revenue")).crossJoin(
+    src = revenue.agg(money_sum(TARGET).alias("source_revenue")).crossJoin(
         streams.agg(F.sum(F.col(STREAMS).cast("bigint")).alias("source_streams")))
-    fin = panel.agg(F.sum(TARGET).alias("final_revenue"),
+    fin = panel.agg(money_sum(TARGET).alias("final_revenue"),
                     F.sum(STREAMS).alias("final_streams"))
     j = nulls.crossJoin(src).crossJoin(fin)
     rev_ok = F.abs(F.col("source_revenue") - F.col("final_revenue")) <= F.lit(rel_tol) * F.greatest(

@@ -51,9 +51,8 @@ def scored_with_intervals(work: DataFrame, params: Params = DEFAULT) -> DataFram
     return add_intervals(score, calib, "nowcast_pred", "calibration_pred", TARGET, INTERVAL_GROUPS, params)
 
 
-def final_view(work: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """The 12-column deliverable."""
-    scored = scored_with_intervals(work, params)
+def assemble_final(work: DataFrame, scored: DataFrame) -> DataFrame:
+    """The 12-column deliverable (P11-P14): nowcast rows UNION actual rows."""
     reason = (F.when(is_target(), F.lit(REASON_MISSING))
               .when(F.col(FLAG) == 1, F.lit(REASON_FLAG)).otherwise(F.lit(REASON_NONE)))
     nowcasted = scored.select(*GRAIN, STREAMS, TARGET, F.col("nowcast_pred").alias("filled_revenue"),
@@ -68,6 +67,10 @@ def final_view(work: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return out.withColumn("rps", rps).select(*DELIVERABLE)
 
 
+def final_view(work: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    return assemble_final(work, scored_with_intervals(work, params))
+
+
 @dataclass
 class RunOutputs:
     final: DataFrame

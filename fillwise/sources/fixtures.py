@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwise.config import OTHER_DSP, OTHER_TERRITORY
+from fillwise.functions.money import money_sum
 from fillwise.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -82,7 +83,7 @@ def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(amount))
     plays = (F.col("l_quantity") * 1000).cast("bigint")
     return (lines.groupBy("month", "business_unit", "country", "terr_no", "raw_dsp", "fam_no")
-            .agg(F.sum(F.when(rev_kept, reported)).alias("reported"),
+            .agg(money_sum(F.when(rev_kept, reported)).alias("reported"),
                  F.max(rev_kept.cast("int")).alias("rev_kept"),
                  F.sum(F.when(streams_kept, plays)).alias("plays"),
                  F.max(streams_kept.cast("int")).alias("streams_kept")))
