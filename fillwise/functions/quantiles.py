@@ -1,88 +1,96 @@
-"""Exact, linearly interpolated quantiles that stay distributed.
+"""Exact rank selection that stays distributed: quantiles and k-smallest.
 
 ``percentile(x, q)`` is exact but merges every distinct value of a group into one
 aggregation buffer, so a global or hot-group quantile over billions of rows ends
-up in one task. ``exact_quantiles`` computes the same number (pandas'
-``Series.quantile``, DuckDB's ``quantile_cont``) by rank selection:
+up in one task; a ``row_number()`` window has the same problem for a hot group.
+Here a value at a given rank is found without either:
 
 1. collapse duplicates: ``(by, x) -> count`` with map-side combine, so a hot value
    is one row;
 2. range-partition the distinct values on ``(by, x)`` into fixed slices, so a hot
    group is spread over many tasks and every slice is a contiguous run of the
-   sort order;
+   sort order; the slice id is stored with the rows by a reliable checkpoint;
 3. per (slice, group) counts give each slice's rank offset (a table of at most
    slices + groups rows);
 4. only the slices holding the wanted ranks are re-read and ranked locally.
 
-``quantile(..., method="partial")`` is the cheap form for inputs whose groups
-are known to be small (e.g. 30 backtest repeats): the built-in ``percentile``.
+``exact_quantiles`` gives pandas' ``Series.quantile`` / DuckDB's ``quantile_cont``
+(linear interpolation); ``smallest_k`` keeps the k rows with the smallest key per
+group. ``quantile_partial`` (built-in ``percentile``) is only for groups with a
+proven small size, such as 30 backtest repeats.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fillwise.functions.joins import lookup_join
 from fillwise.session import cut_lineage
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                    by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
-    """One row per ``by`` group that has a non-null value; one column per prob.
-
-    NULL and NaN values are skipped (pandas skips NaN). Groups with a NULL key
-    are dropped, as pandas ``groupby`` does.
-    """
-    by = list(by)
+def _slices(df: DataFrame, value: str | Column, by: list[str], n_slices: int | None
+            ) -> tuple[DataFrame, DataFrame]:
+    """(ranged distinct values with slice id, per-(slice, group) rank offsets)."""
     spark = df.sparkSession
-    n_slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    x = F.col(value).cast("double")
-    keyed = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    n_slices = n_slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    x = F.col(value) if isinstance(value, str) else value
+    keyed = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
     for b in by:
         keyed = keyed.where(F.col(b).isNotNull())
     distinct = keyed.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    # Both readers below must see the same slices. The slice id is written with
-    # the rows by a reliable checkpoint (shared checkpoint folder), so neither a
-    # second range shuffle nor a lost executor can re-slice the data differently.
     ranged = cut_lineage(distinct.repartitionByRange(n_slices, *by, "_x")
                          .withColumn("_s", F.spark_partition_id()))
-
     by_group = Window.partitionBy(*by) if by else Window.partitionBy()
-    ordered = by_group.orderBy("_s")
     stats = (ranged.groupBy("_s", *by).agg(F.sum("_c").alias("_cnt"))
              .withColumn("_off", F.coalesce(F.sum("_cnt").over(
-                 ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                 by_group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
              .withColumn("_n", F.sum("_cnt").over(by_group)))
+    return ranged, stats
 
-    wanted = F.array(*[F.struct(F.lit(name).alias("_q"), F.lit(float(q)).alias("_p"))
-                       for name, q in probs.items()])
-    pos = F.col("_p") * (F.col("_n") - F.lit(1))
-    sides = F.array(F.struct(F.lit("lo").alias("_side"), F.floor(pos).alias("_rank")),
-                    F.struct(F.lit("hi").alias("_side"), F.ceil(pos).alias("_rank")))
-    targets = (stats.select("_s", *by, "_off", "_cnt", "_n", F.explode(wanted).alias("_w"))
-               .select("_s", *by, "_off", "_cnt", "_n", "_w._q", "_w._p")
-               .select("*", F.explode(sides).alias("_t"))
-               .select("_s", *by, "_off", "_cnt", "_n", "_q", "_p", "_t._side", "_t._rank")
-               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
-               .select("_s", *by, "_n", "_q", "_p", "_side", (F.col("_rank") - F.col("_off")).alias("_local")))
 
-    bound = 2 * len(probs) if not by else None
+def _pick(ranged: DataFrame, stats: DataFrame, requests: DataFrame, by: list[str],
+          bound: int | None) -> DataFrame:
+    """Values at 0-based ranks. ``requests``: (by..., _req, _rank) -> (by..., _req, _x)."""
+    joined = stats.crossJoin(F.broadcast(requests)) if not by else lookup_join(stats, requests, by, "inner")
+    targets = (joined
+               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
+               .select("_s", *by, "_req", (F.col("_rank") - F.col("_off")).alias("_local")))
     hot = lookup_join(ranged, targets.select("_s", *by).distinct(), ["_s", *by], "left_semi", bound=bound)
     local = Window.partitionBy("_s", *by).orderBy("_x")
     ranked = hot.withColumn("_end", F.sum("_c").over(local.rowsBetween(Window.unboundedPreceding, 0)))
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
-    picked = (lookup_join(ranked, targets, ["_s", *by], "inner", bound=bound)
-              .where((F.col("_local") >= F.col("_start")) & (F.col("_local") < F.col("_end"))))
-
-    aggs = [F.max("_n").alias("_n")]
-    for name in probs:
-        for side in ("lo", "hi"):
-            aggs.append(F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_x")))
-                        .alias(f"_{side}_{name}"))
-    pivot = picked.groupBy(*by).agg(*aggs)
+    return (lookup_join(ranked, targets, ["_s", *by], "inner", bound=bound)
+            .where((F.col("_local") >= F.col("_start")) & (F.col("_local") < F.col("_end")))
+            .select(*by, "_req", "_x"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
+                    by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+    """One row per ``by`` group that has a non-null value; one column per prob.
+
+    NULL and NaN values are skipped (pandas skips NaN). Groups with a NULL key
+    are dropped, as pandas ``groupby`` does.
+    """
+    by = list(by)
+    x = F.col(value).cast("double")
+    ranged, stats = _slices(df.where(x.isNull() | ~F.isnan(x)), x, by, slices)
+    sizes = stats.select(*by, "_n").distinct()
+    reqs = []
+    for name, q in probs.items():
+        pos = F.lit(float(q)) * (F.col("_n") - F.lit(1))
+        reqs.append(sizes.select(*by, F.lit(f"lo_{name}").alias("_req"), F.floor(pos).alias("_rank")))
+        reqs.append(sizes.select(*by, F.lit(f"hi_{name}").alias("_req"), F.ceil(pos).alias("_rank")))
+    requests = reqs[0]
+    for r in reqs[1:]:
+        requests = requests.unionByName(r)
+    bound = 2 * len(probs) if not by else None
+    picked = _pick(ranged, stats, requests, by, bound)
+    pivot = picked.groupBy(*by).agg(*[F.max(F.when(F.col("_req") == r, F.col("_x"))).alias(f"_{r}")
+                                      for name in probs for r in (f"lo_{name}", f"hi_{name}")])
+    pivot = lookup_join(pivot, sizes, by, "inner") if by else pivot.crossJoin(sizes)
     outs = []
     for name, q in probs.items():
         p = F.lit(float(q)) * (F.col("_n") - F.lit(1))
@@ -92,6 +100,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return pivot.select(*by, *outs)
 
 
+def smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None
+               ) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among the ``k._k`` smallest of its ``by`` group.
+
+    Keys are assumed distinct within a group (a hash); groups missing from ``k``
+    or with ``_k <= 0`` keep no rows; ``_k`` beyond the group size keeps all.
+    """
+    by = list(by)
+    ranged, stats = _slices(df, key, by, slices)
+    sizes = stats.select(*by, "_n").distinct()
+    req = (lookup_join(sizes, k.select(*by, "_k"), by, "inner")
+           .where(F.col("_k") > 0)
+           .select(*by, F.lit("k").alias("_req"), (F.least(F.col("_k"), F.col("_n")) - 1).alias("_rank")))
+    cut = _pick(ranged, stats, req, by, None).select(*by, F.col("_x").alias("_cut"))
+    return lookup_join(df, cut, by, "inner").where(F.col(key) <= F.col("_cut")).drop("_cut")
+
+
 def quantile_partial(df: DataFrame, value: str, probs: Mapping[str, float],
                      by: Sequence[str] = ()) -> DataFrame:
     """Built-in ``percentile``: one buffer per group; only for small groups."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, FLAG, GRAIN, MONTH, STREAMS, TARGET
-from fillwise.operators import audit, harmonize as hz
+from fillwise.operators import audit, backtest as bt, harmonize as hz
 from fillwise.operators.baselines import epsr_rates
 from fillwise.operators.features import jump_ratio
 from fillwise.operators.flags import add_quality_flags, fe_stats, known_strict, to_nowcast, train_mask
@@ -301,3 +301,57 @@ def q_nowcast_top5(ctx: Context) -> DataFrame:
     head is deterministic)."""
     f = ctx.final().where(F.col("value_status") == "nowcasted")
     return f.orderBy(MONTH, *COHORT).limit(5)
+
+
+# ---------------------------------------------------------------------------
+# Backtest: all repeats in one job
+# ---------------------------------------------------------------------------
+
+
+@query("eval_frames")
+def q_eval_frames(ctx: Context) -> DataFrame:
+    """Per month, rows and the three frame sizes."""
+    ew = ctx.eval_work()
+    return ew.groupBy("month_str").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("known_all").alias("known_all"),
+        F.count_if("known_eval").alias("known_eval"), F.count_if("target_row").alias("target_rows"))
+
+
+@query("month_distribution", share=R6)
+def q_month_distribution(ctx: Context) -> DataFrame:
+    return ctx.holdout_plan()
+
+
+@query("backtest_holdout")
+def q_backtest_holdout(ctx: Context) -> DataFrame:
+    _, test = ctx.split()
+    return test.select(bt.REPEAT, *GRAIN)
+
+
+@query("backtest_overall", mae=M2, wmape=R6)
+def q_backtest_overall(ctx: Context) -> DataFrame:
+    return bt.overall_metrics(ctx.predictions())
+
+
+@query("backtest_monthly", mae=M2, wmape=R6, abs_error_sum=M2, abs_actual_sum=M2)
+def q_backtest_monthly(ctx: Context) -> DataFrame:
+    return bt.monthly_metrics(ctx.predictions())
+
+
+def _summary_table(ctx: Context) -> DataFrame:
+    return bt.stress_summary(bt.overall_metrics(ctx.predictions()), ctx.params)
+
+
+@query("stress_summary", mean=R6, std=R6, p10=R6, p50=R6, p90=R6)
+def q_stress_summary(ctx: Context) -> DataFrame:
+    return _summary_table(ctx)
+
+
+@query("stress_rank", mean=R6, p50=R6, p90=R6, delta_vs_epsr=R6)
+def q_stress_rank(ctx: Context) -> DataFrame:
+    return bt.stress_rank(_summary_table(ctx))
+
+
+@query("promotion_gate")
+def q_promotion_gate(ctx: Context) -> DataFrame:
+    return bt.promotion_gate(_summary_table(ctx))

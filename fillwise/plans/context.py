@@ -57,6 +57,32 @@ class Context:
         from fillwise.session import cut_lineage
         return self._get("final", lambda: cut_lineage(assemble_final(self.work(), self.scored())))
 
+    # -- backtest -------------------------------------------------------------
+    def eval_work(self) -> DataFrame:
+        from fillwise.operators.backtest import eval_frames, excluded_months
+        return self._get("eval_work", lambda: eval_frames(self.work(), excluded_months(self.work())))
+
+    def pools(self) -> tuple[DataFrame, DataFrame]:
+        """(known pool, target pool) of the stress test: known rows and target rows
+        outside the excluded late months."""
+        from pyspark.sql import functions as F
+        ew = self.eval_work()
+        return self._get("pools", lambda: (ew.where(F.col("known_eval")), ew.where(F.col("target_eval"))))
+
+    def holdout_plan(self) -> DataFrame:
+        from fillwise.operators.backtest import month_distribution
+        return self._get("plan", lambda: month_distribution(*self.pools()))
+
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        from fillwise.operators.backtest import holdout_split
+        pool, _ = self.pools()
+        return self._get("split", lambda: holdout_split(pool, self.holdout_plan(), self.params))
+
+    def predictions(self) -> DataFrame:
+        from fillwise.operators.backtest import backtest_predictions
+        from fillwise.session import cut_lineage
+        return self._get("preds", lambda: cut_lineage(backtest_predictions(*self.split(), self.params)))
+
 
 def context(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir, params)
