@@ -41,8 +41,9 @@ bt_preds AS (
   FROM nowcast WHERE role = 'score'
 ),
 bt_overall AS (
-  SELECT model, repeat, count(*) AS rows, avg(abs(total_gross_amount - pred)) AS mae,
-    sum(abs(total_gross_amount - pred)) / nullif(sum(abs(total_gross_amount)), 0) AS wmape
+  SELECT model, repeat, count(*) AS rows, CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mae,
+    CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE)
+    / nullif(CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE), 0) AS wmape
   FROM bt_preds GROUP BY model, repeat
 ),
 bt_summary AS (

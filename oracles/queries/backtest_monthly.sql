@@ -1,6 +1,7 @@
 -- ctes: panel flagged lagged backtest nowcast_core bt_models
-SELECT model, repeat, month, count(*) AS rows, avg(abs(total_gross_amount - pred)) AS mae,
-  sum(abs(total_gross_amount - pred)) / nullif(sum(abs(total_gross_amount)), 0) AS wmape,
+SELECT model, repeat, month, count(*) AS rows, CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mae,
+  CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE)
+    / nullif(CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE), 0) AS wmape,
   CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) AS abs_error_sum,
   CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE) AS abs_actual_sum
 FROM bt_preds GROUP BY model, repeat, month
