@@ -18,3 +18,8 @@ MONEY_DECIMAL = "decimal(38,6)"
 def money_sum(c: str | Column) -> Column:
     """Exact sum of a money column (NULL for no values, like SQL SUM)."""
     return F.sum(col(c).cast(MONEY_DECIMAL)).cast("double")
+
+
+def money_mean(c: str | Column) -> Column:
+    """Mean of a money column from its exact sum (NULLs skipped, like AVG)."""
+    return money_sum(c) / F.count(col(c))

@@ -156,12 +156,12 @@ def run_summary(final: DataFrame, suspicious: DataFrame, reliability: DataFrame)
 
 
 def rollup_coherence(scored: DataFrame, pred: str = "nowcast_pred") -> DataFrame:
-    """Reconciled totals against EPSR anchors at (month, dsp), and the
-    (territory, dsp) roll-up totals of both, with the ratio of the two."""
+    """Reconciled nowcasts against their EPSR anchors, rolled up over
+    (territory, dsp), (territory) and the total; ratio = reconciled / anchor."""
     g = (scored.rollup("territory_name", "dsp")
-         .agg(F.sum(pred).alias("reconciled_sum"), F.sum("anchor_pred").alias("anchor_sum"),
+         .agg(money_sum(pred).alias("reconciled_sum"), money_sum("anchor_pred").alias("anchor_sum"),
               F.count(F.lit(1)).alias("rows"),
-              F.grouping_id().alias("level")))
+              F.grouping_id().cast("int").alias("level")))
     return g.withColumn("ratio", safe_div("reconciled_sum", "anchor_sum"))
 
 

@@ -139,6 +139,11 @@ def _metric_aggs():
             safe_div(money_sum(err), money_sum(F.abs(TARGET))).alias("wmape")]
 
 
+def method_metrics(preds: DataFrame) -> DataFrame:
+    """One metric record per method."""
+    return preds.groupBy("model").agg(*_metric_aggs())
+
+
 def overall_metrics(preds: DataFrame) -> DataFrame:
     """A11-A13 per (model, repeat)."""
     return preds.groupBy("model", REPEAT).agg(*_metric_aggs())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, MONTH, STREAMS, TARGET
 from fillwise.functions.joins import attach_scalars, lookup_join
+from fillwise.functions.money import money_mean, money_sum
 from fillwise.functions.quantiles import exact_quantiles
 from fillwise.functions.safe import non_negative, safe_div
 
@@ -25,8 +26,8 @@ def group_average(train: DataFrame, score: DataFrame, by: Sequence[str] = (),
                   out: str = "pred") -> DataFrame:
     """Cohort mean of revenue, else the global mean."""
     by = list(by)
-    cohort = train.groupBy(*by, *COHORT).agg(F.avg(TARGET).alias("_group_avg"))
-    glob = _scalars(train, by, F.avg(TARGET).alias("_global_avg"))
+    cohort = train.groupBy(*by, *COHORT).agg(money_mean(TARGET).alias("_group_avg"))
+    glob = _scalars(train, by, money_mean(TARGET).alias("_global_avg"))
     s = lookup_join(score, cohort, [*by, *COHORT], "left")
     s = attach_scalars(s, glob, by, bound=None if by else 1)
     return s.withColumn(out, F.coalesce("_group_avg", "_global_avg")).drop("_group_avg", "_global_avg")
@@ -39,7 +40,7 @@ def epsr_rates(train: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]
     keys = [*by, *COHORT]
     sets = [keys, [*by, "territory_name", "dsp"], [*by, "dsp"], [*by]]
     g = (train.groupingSets(sets, *keys)
-         .agg(F.sum(TARGET).alias("_rev"), F.sum(STREAMS).alias("_str"),
+         .agg(money_sum(TARGET).alias("_rev"), F.sum(STREAMS).alias("_str"),
               F.grouping("business_unit").alias("_gb"), F.grouping("territory_name").alias("_gt"),
               F.grouping("dsp").alias("_gd")))
     rate = safe_div("_rev", "_str")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import DEFAULT, MONTH, PER_MILLION, STREAMS, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
+from fillwise.functions.money import money_sum
 from fillwise.functions.quantiles import exact_quantiles
 from fillwise.functions.safe import clip, non_negative, safe_div
 from fillwise.operators.baselines import apply_epsr, epsr_rates
@@ -75,7 +76,7 @@ def lag_hier_nowcast(train: DataFrame, scored: DataFrame, params: Params = DEFAU
     by = list(by)
     recon_keys = [*by, *reconcile_by, MONTH, "dsp"]
     s = apply_epsr(scored, epsr_rates(train, by), by, out="_epsr_pred").drop("epsr_rate_used")
-    tot = (train.groupBy(*by) if by else train).agg(F.sum(TARGET).alias("_tr"), F.sum(STREAMS).alias("_ts"))
+    tot = (train.groupBy(*by) if by else train).agg(money_sum(TARGET).alias("_tr"), F.sum(STREAMS).alias("_ts"))
     tot = tot.select(*by, F.coalesce(F.col("_tr") / F.greatest(F.col("_ts").cast("double"), F.lit(1.0)),
                                      F.lit(0.0)).alias("_gepsr"))
     s = attach_scalars(s, tot, by, bound=None if by else 1)

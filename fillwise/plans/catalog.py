@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, FLAG, GRAIN, MONTH, STREAMS, TARGET
-from fillwise.operators import audit, backtest as bt, harmonize as hz
+from fillwise.operators import audit, backtest as bt, harmonize as hz, profile as prof
+from fillwise.operators.baselines import epsr_predict, group_average
+from fillwise.operators.nowcast import lag_hier_nowcast
 from fillwise.operators.baselines import epsr_rates
 from fillwise.operators.features import jump_ratio
 from fillwise.operators.flags import add_quality_flags, fe_stats, known_strict, to_nowcast, train_mask
@@ -355,3 +357,129 @@ def q_stress_rank(ctx: Context) -> DataFrame:
 @query("promotion_gate")
 def q_promotion_gate(ctx: Context) -> DataFrame:
     return bt.promotion_gate(_summary_table(ctx))
+
+
+# ---------------------------------------------------------------------------
+# Exploration tables
+# ---------------------------------------------------------------------------
+
+
+@query("missing_profile", target_share=R6)
+def q_missing_profile(ctx: Context) -> DataFrame:
+    return prof.missing_profile(ctx.panel())
+
+
+@query("flag_counts")
+def q_flag_counts(ctx: Context) -> DataFrame:
+    return prof.flag_counts(ctx.work())
+
+
+@query("monthly_totals", total_gross_amount=M2)
+def q_monthly_totals(ctx: Context) -> DataFrame:
+    return prof.monthly_totals(ctx.panel())
+
+
+@query("table_profile")
+def q_table_profile(ctx: Context) -> DataFrame:
+    return prof.table_profile(ctx.panel(), "panel").unionByName(prof.table_profile(ctx.final(), "final_view"))
+
+
+@query("category_levels")
+def q_category_levels(ctx: Context) -> DataFrame:
+    return prof.category_levels(ctx.panel())
+
+
+# ---------------------------------------------------------------------------
+# Documented detection rules and roll-up coherence
+# ---------------------------------------------------------------------------
+
+
+@query("rule_b_dsp_outliers", robust_z_dsp=R6, **FINAL_DIGITS)
+def q_rule_b(ctx: Context) -> DataFrame:
+    return audit.rule_b_dsp_outliers(ctx.final(), ctx.params)
+
+
+@query("rule_d_tails", **FINAL_DIGITS)
+def q_rule_d(ctx: Context) -> DataFrame:
+    return audit.rule_d_tails(ctx.final(), ctx.params)
+
+
+@query("tiny_revenue", **FINAL_DIGITS)
+def q_tiny_revenue(ctx: Context) -> DataFrame:
+    return audit.tiny_revenue(ctx.final(), ctx.params)
+
+
+@query("anomaly_severity")
+def q_anomaly_severity(ctx: Context) -> DataFrame:
+    return audit.anomaly_severity(ctx.final(), ctx.params)
+
+
+@query("rollup_coherence", reconciled_sum=M2, anchor_sum=M2, ratio=R6)
+def q_rollup_coherence(ctx: Context) -> DataFrame:
+    return audit.rollup_coherence(ctx.scored())
+
+
+# ---------------------------------------------------------------------------
+# In-sample baselines of the notebook, their metrics and the time holdout
+# ---------------------------------------------------------------------------
+
+
+def _known(ctx: Context):
+    ew = ctx.eval_work()
+    return ew.where(F.col("known_all")), ew.where(F.col("known_eval"))
+
+
+@query("group_avg_baseline", pred=M2)
+def q_group_avg_baseline(ctx: Context) -> DataFrame:
+    known_all, known_eval = _known(ctx)
+    return group_average(known_all, known_eval).select(*GRAIN, "pred")
+
+
+@query("epsr_predict", pred=M2)
+def q_epsr_predict(ctx: Context) -> DataFrame:
+    known_all, known_eval = _known(ctx)
+    return epsr_predict(known_all, known_eval).select(*GRAIN, "pred")
+
+
+def _naive_notebook(ctx: Context) -> DataFrame:
+    """E3, notebook form: previous row's revenue over the whole panel, scored on
+    known evaluation rows that have one (no fallback)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*COHORT).orderBy(MONTH)
+    ew = ctx.eval_work().withColumn("pred", F.lag(TARGET, 1).over(w))
+    return ew.where(F.col("known_eval") & F.col("pred").isNotNull())
+
+
+@query("naive_baseline", pred=M2)
+def q_naive_baseline(ctx: Context) -> DataFrame:
+    return _naive_notebook(ctx).select(*GRAIN, "pred")
+
+
+@query("eval_metrics", mae=M2, wmape=R6)
+def q_eval_metrics(ctx: Context) -> DataFrame:
+    known_all, known_eval = _known(ctx)
+    preds = (group_average(known_all, known_eval).select(F.lit("Group Average Baseline").alias("model"),
+                                                         TARGET, "pred")
+             .unionByName(_naive_notebook(ctx).select(F.lit("Naive Baseline").alias("model"), TARGET, "pred"))
+             .unionByName(epsr_predict(known_all, known_eval).select(F.lit("EPSR").alias("model"), TARGET,
+                                                                     "pred")))
+    return bt.method_metrics(preds)
+
+
+@query("time_holdout")
+def q_time_holdout(ctx: Context) -> DataFrame:
+    _, known_eval = _known(ctx)
+    train, val = bt.time_holdout(known_eval)
+    return (train.agg(F.lit("train").alias("split"), F.count(F.lit(1)).alias("rows"),
+                      F.min(MONTH).alias("first_month"), F.max(MONTH).alias("last_month"))
+            .unionByName(val.agg(F.lit("validation").alias("split"), F.count(F.lit(1)).alias("rows"),
+                                 F.min(MONTH).alias("first_month"), F.max(MONTH).alias("last_month"))))
+
+
+@query("nowcast_holdout_metrics", mae=M2, wmape=R6)
+def q_nowcast_holdout_metrics(ctx: Context) -> DataFrame:
+    """The notebook's quick rerun: N1 fitted before the latest month, scored on it."""
+    _, known_eval = _known(ctx)
+    train, val = bt.time_holdout(known_eval)
+    pred = lag_hier_nowcast(train, val, ctx.params, out="pred")
+    return bt.method_metrics(pred.select(F.lit(bt.LAG_NOWCAST).alias("model"), TARGET, "pred"))

@@ -50,4 +50,30 @@ rps_band AS (
       count(*) FILTER (WHERE value_status = 'nowcasted') AS nowcast_rows,
       count(*) AS total_rows
     FROM final_view WHERE month IS NOT NULL AND dsp IS NOT NULL GROUP BY month, dsp) g
+),
+valid_final AS (
+  SELECT * FROM final_view
+  WHERE NOT (coalesce(filled_revenue < 0, false) OR coalesce(total_streams <= 0, false)
+             OR rps IS NULL OR isnan(rps) OR isinf(rps))
+),
+rb AS (SELECT *, ln(1 + rps) AS lx FROM valid_final),
+rb_med AS (SELECT value_status, dsp, quantile_cont(lx, 0.5) AS med FROM rb GROUP BY value_status, dsp),
+rb_mad AS (
+  SELECT rb.value_status, rb.dsp, quantile_cont(abs(rb.lx - m.med), 0.5) AS mad
+  FROM rb JOIN rb_med m ON rb.value_status = m.value_status AND rb.dsp = m.dsp
+  GROUP BY rb.value_status, rb.dsp
+),
+rule_b AS (
+  SELECT rb.* EXCLUDE (lx),
+    CASE WHEN d.mad > 0 THEN 0.6745 * (rb.lx - m.med) / d.mad END AS robust_z_dsp
+  FROM rb
+  LEFT JOIN rb_med m ON rb.value_status = m.value_status AND rb.dsp = m.dsp
+  LEFT JOIN rb_mad d ON rb.value_status = d.value_status AND rb.dsp = d.dsp
+),
+rd_q AS (SELECT quantile_cont(rps, 0.005) AS lo, quantile_cont(rps, 0.995) AS hi FROM valid_final),
+jumps AS (
+  SELECT month, business_unit, territory_name, dsp,
+    total_gross_amount / nullif(lag(total_gross_amount) OVER (
+      PARTITION BY business_unit, territory_name, dsp ORDER BY month), 0) AS jr
+  FROM final_view
 )

@@ -50,6 +50,4 @@ bt_train AS (
   WHERE NOT EXISTS (SELECT 1 FROM bt_test t WHERE t.repeat = b.repeat AND t.month = b.month
                     AND t.business_unit = b.business_unit AND t.territory_name = b.territory_name
                     AND t.dsp = b.dsp)
-),
-nc_train AS (SELECT repeat AS grp, * EXCLUDE (repeat, skey) FROM bt_train),
-nc_scored AS (SELECT repeat AS grp, 'score' AS role, * EXCLUDE (repeat, skey) FROM bt_test)
+)

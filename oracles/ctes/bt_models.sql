@@ -1,9 +1,9 @@
 -- The four rule-based models of the stress test, one fit per repeat (grp).
 bt_ga_cohort AS (
-  SELECT grp, business_unit, territory_name, dsp, avg(total_gross_amount) AS ga
+  SELECT grp, business_unit, territory_name, dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS ga
   FROM nc_train GROUP BY grp, business_unit, territory_name, dsp
 ),
-bt_ga_global AS (SELECT grp, avg(total_gross_amount) AS gg FROM nc_train GROUP BY grp),
+bt_ga_global AS (SELECT grp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS gg FROM nc_train GROUP BY grp),
 bt_naive_base AS (
   SELECT grp, month, business_unit, territory_name, dsp, total_gross_amount, false AS is_score FROM nc_train
   UNION ALL

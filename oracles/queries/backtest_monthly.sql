@@ -1,4 +1,4 @@
--- ctes: panel flagged lagged backtest nowcast_core bt_models
+-- ctes: panel flagged lagged backtest bt_inputs nowcast_core bt_models
 SELECT model, repeat, month, count(*) AS rows, CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mae,
   CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE)
     / nullif(CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE), 0) AS wmape,

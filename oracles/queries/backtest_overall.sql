@@ -1,2 +1,2 @@
--- ctes: panel flagged lagged backtest nowcast_core bt_models
+-- ctes: panel flagged lagged backtest bt_inputs nowcast_core bt_models
 SELECT * FROM bt_overall

@@ -1,4 +1,4 @@
--- ctes: panel flagged lagged backtest nowcast_core bt_models
+-- ctes: panel flagged lagged backtest bt_inputs nowcast_core bt_models
 WITH ref AS (SELECT max(mean) AS rm, max(p90) AS rp90, max(std) AS rstd FROM bt_summary WHERE model = 'EPSR')
 SELECT model, mean < rm AS beats_mean, p90 <= rp90 * (1 + 0.05) AS p90_ok, std <= rstd * (1 + 0.5) AS stable,
   (mean < rm AND p90 <= rp90 * (1 + 0.05) AND std <= rstd * (1 + 0.5) AND model <> 'EPSR') AS promote

@@ -1,0 +1,2 @@
+-- ctes: panel flagged lagged final_inputs nowcast_core intervals final
+SELECT * FROM final_view WHERE filled_revenue <= 1.0 AND total_streams > 1000000
