@@ -77,20 +77,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     by = list(by)
     x = F.col(value).cast("double")
     ranged, stats = _slices(df.where(x.isNull() | ~F.isnan(x)), x, by, slices)
-    sizes = stats.select(*by, "_n").distinct()
-    reqs = []
-    for name, q in probs.items():
-        pos = F.lit(float(q)) * (F.col("_n") - F.lit(1))
-        reqs.append(sizes.select(*by, F.lit(f"lo_{name}").alias("_req"), F.floor(pos).alias("_rank")))
-        reqs.append(sizes.select(*by, F.lit(f"hi_{name}").alias("_req"), F.ceil(pos).alias("_rank")))
-    requests = reqs[0]
-    for r in reqs[1:]:
-        requests = requests.unionByName(r)
+    # Rank requests come straight from the (slice, group) rows, which know the
+    # group size: the slice holding a wanted rank keeps the request.
+    wanted = F.array(*[F.struct(F.lit(f"{side}_{name}").alias("_req"), F.lit(float(q)).alias("_p"),
+                                F.lit(side).alias("_side"))
+                       for name, q in probs.items() for side in ("lo", "hi")])
+    pos = F.col("_w._p") * (F.col("_n") - F.lit(1))
+    rank = F.when(F.col("_w._side") == "lo", F.floor(pos)).otherwise(F.ceil(pos))
+    targets = (stats.select("_s", *by, "_off", "_cnt", "_n", F.explode(wanted).alias("_w"))
+               .select("_s", *by, "_off", "_cnt", "_n", F.col("_w._req").alias("_req"), rank.alias("_rank"))
+               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
+               .select("_s", *by, "_n", "_req", (F.col("_rank") - F.col("_off")).alias("_local")))
     bound = 2 * len(probs) if not by else None
-    picked = _pick(ranged, stats, requests, by, bound)
-    pivot = picked.groupBy(*by).agg(*[F.max(F.when(F.col("_req") == r, F.col("_x"))).alias(f"_{r}")
+    hot = lookup_join(ranged, targets.select("_s", *by).distinct(), ["_s", *by], "left_semi", bound=bound)
+    local = Window.partitionBy("_s", *by).orderBy("_x")
+    ranked = hot.withColumn("_end", F.sum("_c").over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
+    picked = (lookup_join(ranked, targets, ["_s", *by], "inner", bound=bound)
+              .where((F.col("_local") >= F.col("_start")) & (F.col("_local") < F.col("_end"))))
+    pivot = picked.groupBy(*by).agg(F.max("_n").alias("_n"),
+                                    *[F.max(F.when(F.col("_req") == r, F.col("_x"))).alias(f"_{r}")
                                       for name in probs for r in (f"lo_{name}", f"hi_{name}")])
-    pivot = lookup_join(pivot, sizes, by, "inner") if by else pivot.crossJoin(sizes)
     outs = []
     for name, q in probs.items():
         p = F.lit(float(q)) * (F.col("_n") - F.lit(1))
@@ -100,21 +107,52 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return pivot.select(*by, *outs)
 
 
-def smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None
-               ) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is among the ``k._k`` smallest of its ``by`` group.
+def grouped_and_global_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
+                                 groups: Sequence[str], by: Sequence[str] = ()
+                                 ) -> tuple[DataFrame, DataFrame]:
+    """Per-(by, groups) and per-(by) quantiles from ONE rank-selection pass.
 
-    Keys are assumed distinct within a group (a hash); groups missing from ``k``
-    or with ``_k <= 0`` keep no rows; ``_k`` beyond the group size keeps all.
+    The rows are stacked twice with a level key (the global copy has its group
+    columns blanked), so the slicing, offsets and picking run once for both levels.
+    Group columns must be strings.
     """
+    by, groups = list(by), list(groups)
+    rows = df.select(*by, *groups, F.col(value).alias("_v"))
+    stacked = (rows.select(*by, *groups, "_v", F.lit(0).alias("_lvl"))
+               .unionByName(rows.select(*by, *[F.lit("").alias(g) for g in groups], "_v", F.lit(1).alias("_lvl"))))
+    q = exact_quantiles(stacked, "_v", probs, [*by, "_lvl", *groups])
+    per_group = q.where(F.col("_lvl") == 0).drop("_lvl")
+    glob = q.where(F.col("_lvl") == 1).drop("_lvl", *groups)
+    return per_group, glob
+
+
+def kth_smallest(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None
+                 ) -> DataFrame:
+    """Per ``by`` group, the ``k._k``-th smallest ``key`` (or the largest when the
+    group has fewer rows): (by..., _cut). Groups with ``_k <= 0`` are absent."""
     by = list(by)
     ranged, stats = _slices(df, key, by, slices)
     sizes = stats.select(*by, "_n").distinct()
     req = (lookup_join(sizes, k.select(*by, "_k"), by, "inner")
            .where(F.col("_k") > 0)
            .select(*by, F.lit("k").alias("_req"), (F.least(F.col("_k"), F.col("_n")) - 1).alias("_rank")))
-    cut = _pick(ranged, stats, req, by, None).select(*by, F.col("_x").alias("_cut"))
-    return lookup_join(df, cut, by, "inner").where(F.col(key) <= F.col("_cut")).drop("_cut")
+    return _pick(ranged, stats, req, by, None).select(*by, F.col("_x").alias("_cut"))
+
+
+def flag_smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], flag: str,
+                    slices: int | None = None) -> DataFrame:
+    """``df`` with ``flag`` true on the rows whose ``key`` is among the ``k._k``
+    smallest of their ``by`` group. Keys are assumed distinct within a group."""
+    cut = kth_smallest(df, key, k, by, slices)
+    out = lookup_join(df, cut, list(by), "left")
+    return out.withColumn(flag, F.coalesce(F.col(key) <= F.col("_cut"), F.lit(False))).drop("_cut")
+
+
+def smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None
+               ) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among the ``k._k`` smallest of its ``by`` group."""
+    cut = kth_smallest(df, key, k, by, slices)
+    return lookup_join(df, cut, list(by), "inner").where(F.col(key) <= F.col("_cut")).drop("_cut")
 
 
 def quantile_partial(df: DataFrame, value: str, probs: Mapping[str, float],

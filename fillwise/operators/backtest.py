@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fillwise.config import COHORT, DEFAULT, MONTH, STREAMS, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.money import money_sum
-from fillwise.functions.quantiles import quantile_partial, smallest_k
+from fillwise.functions.quantiles import flag_smallest_k, quantile_partial
 from fillwise.functions.safe import safe_div
 from fillwise.operators.baselines import epsr_predict, group_average, naive_lag
 from fillwise.operators.flags import is_target, known_loose
@@ -93,15 +93,20 @@ def sample_key(seed: int) -> F.Column:
     return F.conv(F.substring(F.md5(txt), 1, 15), 16, 10).cast("bigint")
 
 
-def holdout_split(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """(train, test) for all repeats: test = per (repeat, month) the ``holdout_rows``
-    rows with the smallest sample key; train = the rest of the pool."""
+def holdout_flags(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The pool crossed with the repeats, ``held_out`` true on the test rows: per
+    (repeat, month) the ``holdout_rows`` rows with the smallest sample key."""
     reps = repeats(pool.sparkSession, params.n_repeats)
     rows = pool.crossJoin(F.broadcast(reps)).withColumn("_key", sample_key(params.seed))
     k = plan.select(MONTH, F.col("holdout_rows").alias("_k")).crossJoin(F.broadcast(reps))
-    test = smallest_k(rows, "_key", k, [REPEAT, MONTH])
-    train = rows.join(test.select(REPEAT, MONTH, *COHORT), [REPEAT, MONTH, *COHORT], "left_anti")
-    return train.drop("_key"), test.drop("_key")
+    return flag_smallest_k(rows, "_key", k, [REPEAT, MONTH], "held_out").drop("_key")
+
+
+def holdout_split(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(train, test) for all repeats; train = the pool minus the held-out rows."""
+    flagged = holdout_flags(pool, plan, params)
+    return (flagged.where(~F.col("held_out")).drop("held_out"),
+            flagged.where(F.col("held_out")).drop("held_out"))
 
 
 FitPredict = Callable[[DataFrame, DataFrame, list], DataFrame]

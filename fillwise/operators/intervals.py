@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import DEFAULT, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
-from fillwise.functions.quantiles import exact_quantiles
+from fillwise.functions.quantiles import grouped_and_global_quantiles
 from fillwise.functions.safe import non_negative
 
 
@@ -27,10 +27,11 @@ def calibration_quantiles(calibration: DataFrame, cal_pred: str, actual: str = T
     err = calibration.withColumn(
         "_rel_err", F.abs(F.col(actual) - F.col(cal_pred))
         / F.greatest(F.abs(F.col(cal_pred)), F.lit(params.rel_err_floor)))
-    glob = exact_quantiles(err, "_rel_err", {"_global_q": q}, by)
+    gq, glob = grouped_and_global_quantiles(err, "_rel_err", {"_q": q}, group_cols, by)
+    gq = gq.withColumnRenamed("_q", "_group_q")
+    glob = glob.withColumnRenamed("_q", "_global_q")
     if not by:
         glob = glob.agg(F.max("_global_q").alias("_global_q"))
-    gq = exact_quantiles(err, "_rel_err", {"_group_q": q}, [*by, *group_cols])
     gn = err.groupBy(*by, *group_cols).agg(F.count(F.lit(1)).alias("_group_n"))
     grp = gn.join(gq, [*by, *group_cols], "left")
     return grp, glob

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fillwise.config import DEFAULT, MONTH, PER_MILLION, STREAMS, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.money import money_sum
-from fillwise.functions.quantiles import exact_quantiles
+from fillwise.functions.quantiles import grouped_and_global_quantiles
 from fillwise.functions.safe import clip, non_negative, safe_div
 from fillwise.operators.baselines import apply_epsr, epsr_rates
 
@@ -40,9 +40,8 @@ def rps_guardrail(train: DataFrame, scored: DataFrame, pred: str, params: Params
                         & F.col(TARGET).isNotNull() & (F.col(TARGET) >= 0))
     rps = valid.withColumn("_rps", F.col(TARGET) / (F.col(STREAMS) / F.lit(PER_MILLION)))
     probs = {"_med": 0.5, "_p95": params.cap_quantile}
-    per_dsp = exact_quantiles(rps, "_rps", probs, [*by, "dsp"])
-    glob = exact_quantiles(rps, "_rps", probs, by).select(
-        *by, F.col("_med").alias("_gmed"), F.col("_p95").alias("_gp95"))
+    per_dsp, glob = grouped_and_global_quantiles(rps, "_rps", probs, ["dsp"], by)
+    glob = glob.select(*by, F.col("_med").alias("_gmed"), F.col("_p95").alias("_gp95"))
     if not by:
         glob = glob.agg(F.max("_gmed").alias("_gmed"), F.max("_gp95").alias("_gp95"))
     out = lookup_join(scored, per_dsp, [*by, "dsp"], "left")

@@ -34,11 +34,15 @@ class Context:
         return self._get("facts", lambda: facts(self.spark, self.sf_dir))
 
     def panel(self) -> DataFrame:
+        """The harmonized panel, materialized: every later stage (flags, lags,
+        quantiles, audits) re-reads grain-sized data instead of re-running the
+        sales joins."""
         from fillwise.operators.harmonize import harmonize
+        from fillwise.session import cut_lineage
 
         def build():
             revenue, streams, label_map = self.facts()
-            return harmonize(revenue, streams, label_map)
+            return cut_lineage(harmonize(revenue, streams, label_map))
         return self._get("panel", build)
 
     def work(self) -> DataFrame:
@@ -74,9 +78,18 @@ class Context:
         return self._get("plan", lambda: month_distribution(*self.pools()))
 
     def split(self) -> tuple[DataFrame, DataFrame]:
-        from fillwise.operators.backtest import holdout_split
+        """(train, test) of all repeats, from one materialized table with a
+        held-out flag."""
+        from pyspark.sql import functions as F
+        from fillwise.operators.backtest import holdout_flags
+        from fillwise.session import cut_lineage
         pool, _ = self.pools()
-        return self._get("split", lambda: holdout_split(pool, self.holdout_plan(), self.params))
+
+        def build():
+            flagged = cut_lineage(holdout_flags(pool, self.holdout_plan(), self.params))
+            return (flagged.where(~F.col("held_out")).drop("held_out"),
+                    flagged.where(F.col("held_out")).drop("held_out"))
+        return self._get("split", build)
 
     def predictions(self) -> DataFrame:
         from fillwise.operators.backtest import backtest_predictions

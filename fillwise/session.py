@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,10 +55,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` in the shared checkpoint folder and return a short-lineage copy.
+    """Materialize ``df`` as a parquet table in the shared checkpoint folder and
+    return a DataFrame that reads it back.
 
-    Used once per pipeline for the flagged panel that feeds every later stage, so a
-    lost executor re-reads the checkpoint instead of recomputing the source joins.
+    One computation of the input (an eager ``checkpoint()`` of an unpersisted
+    plan computes it twice: once to count, once to write), and later readers get
+    a columnar scan with column pruning. A lost executor re-reads the files
+    instead of recomputing the lineage; nothing lives on a machine-local disk.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "fillwise", uuid.uuid4().hex)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
