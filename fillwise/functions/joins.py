@@ -36,5 +36,9 @@ def attach_scalars(df: DataFrame, scalars: DataFrame, by: Sequence[str] = (),
     """
     by = list(by)
     if not by:
-        return df.crossJoin(F.broadcast(scalars))
+        # Exactly one row, even when the source was empty (a GROUPING SETS
+        # aggregate over no rows yields no grand-total row): max() over at most
+        # one row is that row, over none a row of NULLs.
+        one = scalars.agg(*[F.max(c).alias(c) for c in scalars.columns])
+        return df.crossJoin(F.broadcast(one))
     return lookup_join(df, scalars, by, "left", bound=bound)

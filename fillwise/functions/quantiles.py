@@ -15,7 +15,8 @@ Here a value at a given rank is found without either:
 4. only the slices holding the wanted ranks are re-read and ranked locally.
 
 ``exact_quantiles`` gives pandas' ``Series.quantile`` / DuckDB's ``quantile_cont``
-(linear interpolation); ``smallest_k`` keeps the k rows with the smallest key per
+(linear interpolation, computed as lo + t * (hi - lo) like DuckDB; numpy's
+hi - (1 - t) * (hi - lo) for t >= 0.5 can differ in the last bit); ``smallest_k`` keeps the k rows with the smallest key per
 group. ``quantile_partial`` (built-in ``percentile``) is only for groups with a
 proven small size, such as 30 backtest repeats.
 """
