@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, FLAG, GRAIN, MONTH, STREAMS, TARGET
-from fillwise.operators import audit, backtest as bt, harmonize as hz, profile as prof
+from fillwise.operators import audit, backtest as bt, harmonize as hz, ml, profile as prof
 from fillwise.operators.baselines import epsr_predict, group_average
 from fillwise.operators.nowcast import lag_hier_nowcast
 from fillwise.operators.baselines import epsr_rates
@@ -483,3 +483,53 @@ def q_nowcast_holdout_metrics(ctx: Context) -> DataFrame:
     train, val = bt.time_holdout(known_eval)
     pred = lag_hier_nowcast(train, val, ctx.params, out="pred")
     return bt.method_metrics(pred.select(F.lit(bt.LAG_NOWCAST).alias("model"), TARGET, "pred"))
+
+
+# ---------------------------------------------------------------------------
+# Model rivals (Spark ML): feature rows are SQL-checked, fits are rows-only
+# ---------------------------------------------------------------------------
+
+
+def _holdout(ctx: Context):
+    _, known_eval = _known(ctx)
+    return bt.time_holdout(known_eval)
+
+
+@query("feature_rows", gross_lag_1=M2, epsr_lag_1=R6, streams_lag_1=M2, log_streams=R6)
+def q_feature_rows(ctx: Context) -> DataFrame:
+    """M1 before encoding: validation rows with train-median-filled lags."""
+    train, val = _holdout(ctx)
+    f = ml.feature_rows(val, ml.lag_medians(train))
+    return f.select(*GRAIN, "month_num", "quarter", STREAMS, "log_streams", *ml.LAGS)
+
+
+def _model_targets(ctx: Context):
+    """The notebook's write-back: fit on known evaluation rows, score target and
+    flagged rows."""
+    from fillwise.operators.flags import to_nowcast
+    _, known_eval = _known(ctx)
+    return known_eval, ctx.work().where(to_nowcast())
+
+
+def _model_query(name: str):
+    def build(ctx: Context) -> DataFrame:
+        train, score = _model_targets(ctx)
+        return ml.registry()[name](train, score).select(*GRAIN, "pred")
+    return build
+
+
+for _key, _name in (("gbt_nowcast", ml.GBT), ("gbt_wide_nowcast", ml.GBT_WIDE),
+                    ("linear_nowcast", ml.LINEAR), ("ridge_nowcast", ml.RIDGE)):
+    REGISTRY[_key] = Query(_model_query(_name), {"pred": M2})
+
+
+@query("model_sweep", mae=M2, wmape=R6)
+def q_model_sweep(ctx: Context) -> DataFrame:
+    """M9: every registry model on the latest-month holdout, one metric row each."""
+    train, val = _holdout(ctx)
+    parts = [fn(train, val).select(F.lit(name).alias("model"), TARGET, "pred")
+             for name, fn in ml.registry().items()]
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
+    return bt.method_metrics(preds)
