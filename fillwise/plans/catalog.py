@@ -22,6 +22,7 @@ from fillwise.operators.features import jump_ratio
 from fillwise.operators.flags import add_quality_flags, fe_stats, known_strict, to_nowcast, train_mask
 from fillwise.operators.intervals import calibration_quantiles
 from fillwise.plans.context import Context, context
+from fillwise.sources import io as sio
 from fillwise.plans.rounding import round_spark
 from fillwise.functions.money import money_sum
 
@@ -533,3 +534,35 @@ def q_model_sweep(ctx: Context) -> DataFrame:
     for p in parts[1:]:
         preds = preds.unionByName(p)
     return bt.method_metrics(preds)
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: round trips through files in the shared checkpoint folder
+# ---------------------------------------------------------------------------
+
+
+def _scratch(ctx: Context, name: str) -> str:
+    import os
+    import uuid
+
+    from fillwise.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(ctx.spark), "fillwise-io", f"{name}-{uuid.uuid4().hex}")
+
+
+@query("scan_csv_roundtrip", total_gross_amount=M2)
+def q_scan_csv_roundtrip(ctx: Context) -> DataFrame:
+    """Both facts written as header CSV, read back with declared schemas and
+    harmonized: the panel must come out unchanged."""
+    revenue, streams, label_map = ctx.facts()
+    rp, sp = _scratch(ctx, "revenue-csv"), _scratch(ctx, "streams-csv")
+    sio.write_csv(revenue, rp)
+    sio.write_csv(streams, sp)
+    return hz.harmonize(sio.read_revenue_csv(ctx.spark, rp), sio.read_streams_csv(ctx.spark, sp), label_map)
+
+
+@query("panel_roundtrip", total_gross_amount=M2)
+def q_panel_roundtrip(ctx: Context) -> DataFrame:
+    """S2 + S4: the panel written as month-partitioned parquet and read back."""
+    path = _scratch(ctx, "panel")
+    sio.write_panel(ctx.panel(), path)
+    return sio.read_panel(ctx.spark, path)
