@@ -40,7 +40,8 @@ def score_and_calibrate(work: DataFrame, params: Params = DEFAULT) -> tuple[Data
     train = work.where(train_mask())
     both = (work.where(to_nowcast()).withColumn("_role", F.lit("score"))
             .unionByName(train.withColumn("_role", F.lit("calib"))))
-    pred = lag_hier_nowcast(train, both, params, reconcile_by=["_role"], keep_parts=True)
+    # Materialized once: the calibration quantiles and the scored rows both read it.
+    pred = cut_lineage(lag_hier_nowcast(train, both, params, reconcile_by=["_role"], keep_parts=True))
     score = pred.where(F.col("_role") == "score").drop("_role")
     calib = pred.where(F.col("_role") == "calib").drop("_role").withColumnRenamed("nowcast_pred", "calibration_pred")
     return score, calib
