@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import (GRAIN, OTHER_DSP, OTHER_TERRITORY, REFERENCE_DSP_FAMILIES,
                              REFERENCE_TERRITORIES, STREAMS, TARGET)
-from fillwise.functions.joins import lookup_join
+from fillwise.functions.joins import broadcast_if_small, lookup_join
 from fillwise.functions.money import money_sum
 from fillwise.functions.safe import finite_or_null
 
@@ -70,11 +70,13 @@ def territory_static(streams: DataFrame, names: Sequence[str] = REFERENCE_TERRIT
 def territory_dynamic(streams: DataFrame, known: DataFrame) -> DataFrame:
     """Country kept if it occurs as a revenue territory, else All Other Locations.
 
-    An existence join; AQE broadcasts the territory list once its measured size is
-    small, and a NULL country never matches (SQL ``IN`` semantics).
+    An existence join. The territory list is broadcast after a row-count check
+    (no shuffle of the streams by country, where one hot country would land in
+    one task); a longer list falls back to a shuffle join. A NULL country never
+    matches (SQL ``IN`` semantics).
     """
     k = known.select(F.col("territory_name").alias("country"), F.lit(True).alias("_known"))
-    out = streams.join(k, "country", "left")
+    out = streams.join(broadcast_if_small(k), "country", "left")
     return (out.withColumn("territory_name",
                            F.when(F.col("_known"), F.col("country")).otherwise(F.lit(OTHER_TERRITORY)))
             .drop("_known"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import OTHER_DSP, OTHER_TERRITORY
 from fillwise.functions.money import money_sum
+from fillwise.session import cut_lineage
 from fillwise.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -89,9 +90,16 @@ def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max(streams_kept.cast("int")).alias("streams_kept")))
 
 
-def revenue_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(revenue, streams) in the reference's input schemas."""
+def revenue_streams(spark: SparkSession, sf_dir: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(revenue, streams) in the reference's input schemas.
+
+    Both facts read one materialized table of sales cells: column pruning gives
+    the two branches different lineitem scans, so without it the big join would
+    run once per branch (exchange reuse needs identical subtrees).
+    """
     cells = sales_cells(spark, sf_dir)
+    if materialize:
+        cells = cut_lineage(cells)
     revenue = cells.where(F.col("rev_kept") == 1).select(
         "month", "business_unit",
         F.when(F.col("terr_no") < NAMED_TERRITORY_KEYS, F.col("country"))
