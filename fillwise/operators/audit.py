@@ -139,6 +139,13 @@ def build_summary(final: DataFrame, group_cols: Sequence[str]) -> DataFrame:
         (F.col("filled_revenue") - F.col("reported_revenue")).alias("revenue_uplift"))
 
 
+def sort_summary(summary: DataFrame) -> DataFrame:
+    """O1: highest nowcast rate first, then most nowcast rows, then most rows
+    (a sort of the small summary table, at the sink only)."""
+    return summary.orderBy(F.col("nowcast_rate_pct").desc(), F.col("nowcast_rows").desc(),
+                           F.col("total_rows").desc())
+
+
 def run_summary(final: DataFrame, suspicious: DataFrame, reliability: DataFrame) -> DataFrame:
     """The nine counters, as one row (three one-row aggregates cross-joined)."""
     nowc = F.col("value_status") == STATUS_NOWCASTED

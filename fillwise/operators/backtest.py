@@ -1,8 +1,8 @@
 """Distribution-aware backtest (B1), time holdout (B2), promotion gate (B3) and
 the metric tables (A11-A15, A19, A20).
 
-All repeats run in ONE job: the known pool is crossed with ``range(n_repeats)``
-(a proven small side), each (repeat, month) holds out the rows with the smallest
+All repeats run in ONE job: every known pool row is repeated ``n_repeats`` times
+(a row-local explode), each (repeat, month) holds out the rows with the smallest
 hash keys, and every model is fitted with ``repeat`` as an extra grouping key.
 The reference draws its samples with numpy's generator; here the sample is the
 md5 order of (grain, repeat, seed), and the per-month remainder goes to the
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillwise.config import COHORT, DEFAULT, MONTH, STREAMS, TARGET, Params
+from fillwise.config import COHORT, DEFAULT, MONTH, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.money import money_sum
 from fillwise.functions.quantiles import flag_smallest_k, quantile_partial
@@ -82,8 +82,9 @@ def month_distribution(pool: DataFrame, target: DataFrame) -> DataFrame:
     return tc.select(MONTH, "target_rows", "share", "holdout_size", "holdout_rows")
 
 
-def repeats(spark, n: int) -> DataFrame:
-    return spark.range(1, n + 1).select(F.col("id").cast("int").alias(REPEAT))
+def with_repeats(df: DataFrame, n: int) -> DataFrame:
+    """Every row once per repeat 1..n (a row-local explode, no join)."""
+    return df.withColumn(REPEAT, F.explode(F.sequence(F.lit(1), F.lit(n).cast("int"))))
 
 
 def sample_key(seed: int) -> F.Column:
@@ -96,9 +97,8 @@ def sample_key(seed: int) -> F.Column:
 def holdout_flags(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """The pool crossed with the repeats, ``held_out`` true on the test rows: per
     (repeat, month) the ``holdout_rows`` rows with the smallest sample key."""
-    reps = repeats(pool.sparkSession, params.n_repeats)
-    rows = pool.crossJoin(F.broadcast(reps)).withColumn("_key", sample_key(params.seed))
-    k = plan.select(MONTH, F.col("holdout_rows").alias("_k")).crossJoin(F.broadcast(reps))
+    rows = with_repeats(pool, params.n_repeats).withColumn("_key", sample_key(params.seed))
+    k = with_repeats(plan.select(MONTH, F.col("holdout_rows").alias("_k")), params.n_repeats)
     return flag_smallest_k(rows, "_key", k, [REPEAT, MONTH], "held_out").drop("_key")
 
 
@@ -205,7 +205,3 @@ def time_holdout(known_eval: DataFrame) -> tuple[DataFrame, DataFrame]:
     train = x.where(~F.col("_val")).drop("_last", "_months", "_val")
     val = x.where(F.col("_val")).drop("_last", "_months", "_val")
     return train, val
-
-
-def with_stream_features(df: DataFrame) -> DataFrame:
-    return df.withColumn("log_streams", F.log1p(F.col(STREAMS).cast("double")))

@@ -275,7 +275,8 @@ SUMMARY_DIGITS = dict(nowcast_rate_pct=M2, reported_revenue=M2, filled_revenue=M
 
 def _summary(cols):
     def build(ctx: Context) -> DataFrame:
-        return audit.build_summary(ctx.final(), cols)
+        out = audit.build_summary(ctx.final(), cols)
+        return out.orderBy("month_str") if cols == ["month_str"] else audit.sort_summary(out)
     return build
 
 

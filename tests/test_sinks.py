@@ -30,3 +30,16 @@ def test_deliverable_invariants(spark):
     assert bad.count() == 0
     assert f.where("value_status = 'actual' AND NOT (filled_revenue <=> total_gross_amount)").count() == 0
     assert f.count() == ctx.panel().count()
+
+
+def test_run_from_csv_end_to_end(spark, tmp_path):
+    from fillwise.plans.run import run_from_csv
+    from fillwise.sources.fixtures import fixture_label_map, revenue_streams
+    revenue, streams = revenue_streams(spark, SF)
+    sio.write_csv(revenue, str(tmp_path / "rev"))
+    sio.write_csv(streams, str(tmp_path / "str"))
+    labels = {r.dsp: [] for r in fixture_label_map(spark).collect()}
+    for r in fixture_label_map(spark).collect():
+        labels[r.dsp].append(r.raw_dsp)
+    run = run_from_csv(spark, str(tmp_path / "rev"), str(tmp_path / "str"), str(tmp_path / "out"), labels)
+    assert spark.read.parquet(str(tmp_path / "out" / "final_view")).count() == run.final.count() > 0
