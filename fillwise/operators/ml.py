@@ -123,13 +123,13 @@ def fit_predict_linear(train: DataFrame, score: DataFrame, alpha: float | None =
 
 
 def fit_predict_gbt(train: DataFrame, score: DataFrame, wide: bool = False, seed: int = 42,
-                    out: str = "pred") -> DataFrame:
+                    out: str = "pred", rounds: int = 350) -> DataFrame:
     """M5 / M6: boosted trees on log1p(revenue), expm1 back, clipped at 0."""
     tr, sc = _features(train, score)
     enc = _tree_encoder(TREE_NUMERIC).fit(tr)
     tr, sc = enc.transform(tr), enc.transform(sc)
     tr = tr.withColumn("_y", F.log1p(F.col(TARGET)))
-    gbt = GBTRegressor(featuresCol="features", labelCol="_y", predictionCol="_p", maxIter=350, stepSize=0.04,
+    gbt = GBTRegressor(featuresCol="features", labelCol="_y", predictionCol="_p", maxIter=rounds, stepSize=0.04,
                        maxDepth=5 if wide else 4, minInstancesPerNode=30 if wide else 6,
                        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
     model = gbt.fit(tr)

@@ -14,17 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, FLAG, GRAIN, MONTH, STREAMS, TARGET
+from fillwise.functions.money import money_sum
 from fillwise.operators import audit, backtest as bt, harmonize as hz, ml, profile as prof
-from fillwise.operators.baselines import epsr_predict, group_average
-from fillwise.operators.nowcast import lag_hier_nowcast
-from fillwise.operators.baselines import epsr_rates
+from fillwise.operators.baselines import epsr_predict, epsr_rates, group_average
 from fillwise.operators.features import jump_ratio
 from fillwise.operators.flags import add_quality_flags, fe_stats, known_strict, to_nowcast, train_mask
 from fillwise.operators.intervals import calibration_quantiles
+from fillwise.operators.nowcast import lag_hier_nowcast
 from fillwise.plans.context import Context, context
-from fillwise.sources import io as sio
 from fillwise.plans.rounding import round_spark
-from fillwise.functions.money import money_sum
+from fillwise.sources import io as sio
 
 
 @dataclass

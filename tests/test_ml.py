@@ -53,3 +53,10 @@ def test_ridge_matches_closed_form(spark):
     expect = np.clip(xs @ w + (ym - xm @ w), 0, None)
     got = _preds(ml.fit_predict_linear(train, score, alpha=10.0))
     assert got == pytest.approx(expect, rel=1e-4, abs=1e-4)
+
+
+def test_gbt_plumbing(spark):
+    train, score = _frames(spark)
+    out = ml.fit_predict_gbt(train, score, rounds=5)
+    preds = _preds(out)
+    assert len(preds) == score.count() and (preds >= 0).all()

@@ -3,6 +3,7 @@ row count, column names and an order-insensitive hash of the values."""
 
 import hashlib
 import math
+import os
 
 import duckdb
 import pytest
@@ -11,7 +12,9 @@ import __spark_entry__ as entry
 from fillwise.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+# 350-round boosted-tree fits: minutes on local mode; run with FILLWISE_SLOW_TESTS=1
+SLOW = {"gbt_nowcast", "gbt_wide_nowcast", "model_sweep"}
+KEYS = sorted(k for k in entry.queries() if k not in SLOW or os.environ.get("FILLWISE_SLOW_TESTS"))
 
 
 def _digest(cols, rows):
