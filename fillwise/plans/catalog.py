@@ -566,3 +566,11 @@ def q_panel_roundtrip(ctx: Context) -> DataFrame:
     path = _scratch(ctx, "panel")
     sio.write_panel(ctx.panel(), path)
     return sio.read_panel(ctx.spark, path)
+
+
+@query("harmonized_panel_sql", total_gross_amount=M2)
+def q_harmonized_panel_sql(ctx: Context) -> DataFrame:
+    """S3: the same panel from Spark SQL over registered temp views."""
+    from fillwise.plans.sql_harmonize import harmonize_sql
+    revenue, streams, label_map = ctx.facts()
+    return harmonize_sql(ctx.spark, revenue, streams, label_map)

@@ -172,3 +172,12 @@ def test_all_actual_month_has_zero_width(spark):
                               "nowcast_lower_90 double, nowcast_upper_90 double, value_status string")
     r = audit.dsp_month_reliability(f).collect()[0]
     assert r.revenue_lower == 0.0 and r.revenue_upper == 0.0 and r.uncertainty_width_pct == -100.0 + 100.0
+
+
+def test_replace_by_key_is_idempotent(spark):
+    from fillwise.functions.tables import replace_by_key
+    t = spark.createDataFrame([("EPSR", 0.2), ("Naive", 0.3)], "model string, wmape double")
+    new = spark.createDataFrame([("EPSR", 0.1)], "model string, wmape double")
+    once = replace_by_key(t, new, ["model"])
+    twice = replace_by_key(once, new, ["model"])
+    assert sorted(once.collect()) == sorted(twice.collect()) == [("EPSR", 0.1), ("Naive", 0.3)]
