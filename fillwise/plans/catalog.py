@@ -574,3 +574,15 @@ def q_harmonized_panel_sql(ctx: Context) -> DataFrame:
     from fillwise.plans.sql_harmonize import harmonize_sql
     revenue, streams, label_map = ctx.facts()
     return harmonize_sql(ctx.spark, revenue, streams, label_map)
+
+
+@query("prediction_intervals_sparse", nowcast_pred=M2, nowcast_lower_90=M2, nowcast_upper_90=M2)
+def q_prediction_intervals_sparse(ctx: Context) -> DataFrame:
+    """I1 with a 200-row minimum per (territory, dsp): most groups fall back to
+    the global quantile, so the fallback is exercised at small scale."""
+    from dataclasses import replace
+
+    from fillwise.plans.final_view import scored_with_intervals
+    params = replace(ctx.params, interval_min_rows=200)
+    return scored_with_intervals(ctx.work(), params).select(*GRAIN, "nowcast_pred", "nowcast_lower_90",
+                                                            "nowcast_upper_90")
