@@ -64,7 +64,8 @@ class Context:
     # -- backtest -------------------------------------------------------------
     def eval_work(self) -> DataFrame:
         from fillwise.operators.backtest import eval_frames, excluded_months
-        return self._get("eval_work", lambda: eval_frames(self.work(), excluded_months(self.work())))
+        return self._get("eval_work", lambda: eval_frames(
+            self.work(), excluded_months(self.work(), self.params.exclude_latest_months)))
 
     def pools(self) -> tuple[DataFrame, DataFrame]:
         """(known pool, target pool) of the stress test: known rows and target rows

@@ -1,10 +1,9 @@
-"""Inputs of every query: the two facts and the harmonized panel from the driver tables."""
+"""Inputs of every query: the two facts and the label map from the driver tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fillwise.operators.harmonize import harmonize
 from fillwise.sources.fixtures import fixture_label_map, revenue_streams
 
 
@@ -12,8 +11,3 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     """(revenue, streams, label_map)."""
     revenue, streams = revenue_streams(spark, sf_dir)
     return revenue, streams, fixture_label_map(spark)
-
-
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    revenue, streams, label_map = facts(spark, sf_dir)
-    return harmonize(revenue, streams, label_map)
