@@ -66,3 +66,20 @@ def test_single_buffer_path_equals_sliced_path(spark, tmp_path):
     g1 = tuple(exact_quantiles(df, "x", probs).collect()[0])
     g2 = tuple(exact_quantiles(df, "x", probs, single_buffer_bytes=0).collect()[0])
     assert g1 == g2
+
+
+def test_hot_group_is_spread_over_slices(spark):
+    from pyspark.sql import functions as F
+
+    from fillwise.functions.quantiles import _slices
+    rng = np.random.default_rng(2)
+    n = 30000
+    g = np.where(np.arange(n) < n // 3, "hot", rng.choice(["a", "b", "c", "d"], n))
+    pdf = pd.DataFrame({"g": g, "x": rng.normal(size=n)})
+    pdf.loc[: n // 10, "x"] = 1.5                # and one hot value
+    ranged, stats = _slices(spark.createDataFrame(pdf), "x", ["g"], 8)
+    hot = stats.where(F.col("g") == "hot").collect()
+    assert len(hot) >= 2                          # the hot group spans several slices
+    assert sum(r._cnt for r in hot) == int((pdf.g == "hot").sum())
+    # the hot value is one row with its multiplicity
+    assert ranged.where((F.col("g") == "hot") & (F.col("_x") == 1.5)).collect()[0]._c == n // 10 + 1
