@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, MONTH, STREAMS, TARGET
-from fillwise.functions.joins import attach_scalars
+from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.quantiles import exact_quantiles
 from fillwise.functions.safe import non_negative
 
@@ -145,3 +145,96 @@ def registry() -> dict:
         LINEAR: lambda tr, sc: fit_predict_linear(tr, sc, None),
         RIDGE: lambda tr, sc: fit_predict_linear(tr, sc, 10.0),
     }
+
+
+# ---------------------------------------------------------------------------
+# Linear models for many fits at once (one per ``by`` group, e.g. backtest
+# repeat): the normal equations of every group come from ONE aggregation; only
+# the small (d x d) systems, one per group, are solved on the driver, as Spark
+# ML's normal-equation solver does for a single fit.
+# ---------------------------------------------------------------------------
+
+
+def _levels(df: DataFrame) -> dict[str, list[str]]:
+    """Sorted levels of each cohort column (a closed, small vocabulary)."""
+    rows = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in COHORT]))
+                      .alias("l")).select("l.c", "l.v").where(F.col("v").isNotNull()).distinct().collect())
+    out: dict[str, list[str]] = {c: [] for c in COHORT}
+    for r in rows:
+        out[r.c].append(r.v)
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def _lag_medians_by(train: DataFrame, by: list[str]) -> DataFrame:
+    stacked = train.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in LAGS])).alias("_s"))
+    med = exact_quantiles(stacked.select(*by, "_s._col", "_s._v"), "_v", {"_m": 0.5}, [*by, "_col"])
+    return med.groupBy(*by).agg(*[F.max(F.when(F.col("_col") == c, F.col("_m"))).alias(f"_med_{c}")
+                                  for c in LAGS])
+
+
+def _design_columns(levels: dict[str, list[str]]) -> list:
+    """Drop-first one-hot columns, then the linear numeric features (no intercept)."""
+    cols = []
+    for c in COHORT:
+        for lv in levels[c][1:]:
+            cols.append((F.col(c) == F.lit(lv)).cast("double"))
+    for c in LINEAR_NUMERIC:
+        cols.append(F.col(c).cast("double"))
+    return cols
+
+
+def fit_predict_linear_by(train: DataFrame, score: DataFrame, by: list[str], alpha: float | None = None,
+                          out: str = "pred") -> DataFrame:
+    """M3/M4 fitted once per ``by`` group, all groups in one aggregation job.
+
+    OLS is the minimum-norm least-squares solution (as lstsq on the design);
+    Ridge penalizes the raw coefficients with an unpenalized intercept (centred
+    normal equations), as the reference's Ridge does. Lag gaps take the group's
+    train medians; levels absent from a group's train rows get coefficient 0.
+    """
+    import numpy as np
+
+    by = list(by)
+    med = _lag_medians_by(train, by)
+    levels = _levels(train)
+
+    def feats(df):
+        x = lookup_join(df, med, by, "left")
+        x = x.withColumn("month_num", F.month(MONTH)).withColumn("quarter", F.quarter(MONTH))
+        for c in LAGS:
+            x = x.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")))
+        return x.withColumn("_x", F.array(*_design_columns(levels)))
+
+    tr = feats(train).withColumn("_y", F.col(TARGET).cast("double"))
+    d = len(_design_columns(levels))
+    aggs = [F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_sy")]
+    aggs += [F.sum(F.col("_x")[i]).alias(f"_s{i}") for i in range(d)]
+    aggs += [F.sum(F.col("_x")[i] * F.col("_y")).alias(f"_xy{i}") for i in range(d)]
+    aggs += [F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"_g{i}_{j}") for i in range(d) for j in range(i, d)]
+    moments = tr.groupBy(*by).agg(*aggs).collect()          # one row per group: bounded
+
+    coef_rows = []
+    for r in moments:
+        n = float(r["_n"])
+        s = np.array([r[f"_s{i}"] for i in range(d)], dtype=float)
+        xy = np.array([r[f"_xy{i}"] for i in range(d)], dtype=float)
+        g = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i, d):
+                g[i, j] = g[j, i] = r[f"_g{i}_{j}"]
+        mean_x, mean_y = s / n, r["_sy"] / n
+        gc = g - n * np.outer(mean_x, mean_x)               # centred Gram: intercept not penalized
+        xyc = xy - n * mean_x * mean_y
+        if alpha is None:
+            w = np.linalg.pinv(gc, rcond=1e-12, hermitian=True) @ xyc
+        else:
+            w = np.linalg.solve(gc + alpha * np.eye(d), xyc)
+        b = mean_y - mean_x @ w
+        coef_rows.append(tuple(r[k] for k in by) + (float(b), [float(v) for v in w]))
+    schema = ", ".join([f"{k} {dict(train.dtypes)[k]}" for k in by] + ["_b double", "_w array<double>"])
+    coefs = train.sparkSession.createDataFrame(coef_rows, schema)
+    sc = lookup_join(feats(score), coefs, by, "left")
+    dot = F.aggregate(F.zip_with("_x", "_w", lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
+    res = sc.withColumn(out, non_negative(F.col("_b") + dot))
+    return res.drop("_x", "_b", "_w", *[f"_med_{c}" for c in LAGS])

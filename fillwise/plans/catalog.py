@@ -355,6 +355,14 @@ def q_stress_rank(ctx: Context) -> DataFrame:
     return bt.stress_rank(_summary_table(ctx))
 
 
+@query("stress_summary_all", mean=R6, std=R6, p10=R6, p50=R6, p90=R6)
+def q_stress_summary_all(ctx: Context) -> DataFrame:
+    """A19 over six models: the four rule-based ones plus LinearRegression and
+    Ridge, whose 30 per-repeat fits come from one aggregation job."""
+    preds = ctx.predictions().unionByName(ctx.predictions_linear())
+    return bt.stress_summary(bt.overall_metrics(preds), ctx.params)
+
+
 @query("promotion_gate")
 def q_promotion_gate(ctx: Context) -> DataFrame:
     return bt.promotion_gate(_summary_table(ctx))

@@ -97,6 +97,24 @@ class Context:
         from fillwise.session import cut_lineage
         return self._get("preds", lambda: cut_lineage(backtest_predictions(*self.split(), self.params)))
 
+    def predictions_linear(self) -> DataFrame:
+        """LinearRegression and Ridge on the same holdout split, every repeat
+        fitted in one aggregation job."""
+        from pyspark.sql import functions as F
+        from fillwise.config import COHORT, MONTH, TARGET
+        from fillwise.operators import ml
+        from fillwise.operators.backtest import REPEAT
+        from fillwise.session import cut_lineage
+
+        def build():
+            train, test = self.split()
+            keys = [REPEAT, MONTH, *COHORT]
+            parts = [ml.fit_predict_linear_by(train, test, [REPEAT], alpha=a)
+                     .select(F.lit(name).alias("model"), *keys, TARGET, F.col("pred").cast("double").alias("pred"))
+                     for name, a in ((ml.LINEAR, None), (ml.RIDGE, 10.0))]
+            return cut_lineage(parts[0].unionByName(parts[1]))
+        return self._get("preds_linear", build)
+
 
 def context(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir, params)

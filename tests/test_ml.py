@@ -60,3 +60,17 @@ def test_gbt_plumbing(spark):
     out = ml.fit_predict_gbt(train, score, rounds=5)
     preds = _preds(out)
     assert len(preds) == score.count() and (preds >= 0).all()
+
+
+def test_all_repeats_in_one_job_match_single_fits(spark):
+    from fillwise.plans.context import context
+    ctx = context(spark, "/root/testdata/sf0.001")
+    train, test = ctx.split()
+    keys = ["repeat", "month", "business_unit", "territory_name", "dsp"]
+    for alpha, tol in ((None, 1e-4), (10.0, 1e-8)):
+        many = ml.fit_predict_linear_by(train, test, ["repeat"], alpha=alpha).where("repeat = 5")
+        one = ml.fit_predict_linear(train.where("repeat = 5"), test.where("repeat = 5"), alpha=alpha)
+        j = many.select(*keys, "pred").join(one.select(*keys, one.pred.alias("p1")), keys).collect()
+        assert len(j) == test.where("repeat = 5").count() > 0
+        for r in j:
+            assert abs(r.pred - r.p1) <= tol * max(abs(r.p1), 1.0)
