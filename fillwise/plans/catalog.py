@@ -535,9 +535,18 @@ for _key, _name in (("gbt_nowcast", ml.GBT), ("gbt_wide_nowcast", ml.GBT_WIDE),
 @query("model_sweep", mae=M2, wmape=R6)
 def q_model_sweep(ctx: Context) -> DataFrame:
     """M9: every registry model on the latest-month holdout, one metric row each."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from fillwise.session import cut_lineage
     train, val = _holdout(ctx)
-    parts = [fn(train, val).select(F.lit(name).alias("model"), TARGET, "pred")
-             for name, fn in ml.registry().items()]
+
+    def fit(item):
+        name, fn = item
+        # each fit is materialized by its own Spark jobs; the fits run concurrently
+        # (an iterative tree fit leaves most cores idle)
+        return cut_lineage(fn(train, val).select(F.lit(name).alias("model"), TARGET, "pred"))
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(fit, ml.registry().items()))
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
