@@ -9,11 +9,15 @@ Here a value at a given rank is found without either:
    is one row;
 2. range-partition the distinct values on ``(by, x)`` into fixed slices, so a hot
    group is spread over many tasks and every slice is a contiguous run of the
-   sort order; the slice id is stored with the rows by a reliable checkpoint;
+   sort order; the slice id is stored with the rows in a table written to the
+   shared checkpoint folder, so every reader (and every retry) sees the same slices;
 3. per (slice, group) counts give each slice's rank offset (a table of at most
    slices + groups rows);
 4. only the slices holding the wanted ranks are re-read and ranked locally.
 
+Inputs whose measured size is under ``SINGLE_BUFFER_BYTES`` take a shortcut with
+the same results: one sorted list per group.
+
 ``exact_quantiles`` gives pandas' ``Series.quantile`` / DuckDB's ``quantile_cont``
 (linear interpolation, computed as lo + t * (hi - lo) like DuckDB; numpy's
 hi - (1 - t) * (hi - lo) for t >= 0.5 can differ in the last bit); ``smallest_k`` keeps the k rows with the smallest key per

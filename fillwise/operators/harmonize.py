@@ -133,8 +133,9 @@ def dq_checks(revenue: DataFrame, streams: DataFrame, panel: DataFrame, rel_tol:
               ) -> DataFrame:
     """Null dimensions, revenue total preserved, streams total preserved.
 
-    Totals are compared with a relative tolerance: float sums depend on order.
-    Three global aggregates, each one row, cross-joined.
+    Revenue totals are exact decimal sums, compared with a small relative
+    tolerance in case inputs carry more than six decimals. Three global
+    aggregates, each one row, cross-joined.
     """
     nulls = panel.agg(F.count_if(F.col("month").isNull() | F.col("business_unit").isNull()
                                  | F.col("territory_name").isNull() | F.col("dsp").isNull())
