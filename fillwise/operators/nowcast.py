@@ -80,7 +80,9 @@ def lag_hier_nowcast(train: DataFrame, scored: DataFrame, params: Params = DEFAU
                                      F.lit(0.0)).alias("_gepsr"))
     s = attach_scalars(s, tot, by, bound=None if by else 1)
     ss = _safe_streams()
-    # An empty train group has sum 0 in pandas, hence a fallback rate of 0.
+    # An empty train group has sum 0 in pandas, hence a fallback rate of 0. This
+    # fallback is never missing (streams default to 0), so the rule's further
+    # fallback to the train median can never apply and is not computed.
     fallback = F.greatest(ss * F.coalesce(F.col("_gepsr"), F.lit(0.0)), F.lit(0.0))
     anchor = non_negative(F.coalesce(F.col("_epsr_pred"), fallback))
     s = s.withColumn("anchor_pred", anchor)
