@@ -1,4 +1,5 @@
-"""Model rivals of the nowcast (M1-M6, M9) as Spark ML pipelines.
+"""Model rivals of the nowcast (M1-M6, M9) as Spark ML pipelines (KNN, M7, is in
+``fillwise.operators.knn``).
 
 Features (M1/M2): the cohort one-hot (business unit, territory, DSP), month
 number, quarter, streams, log1p(streams) (trees only) and the three lags, with
@@ -39,6 +40,7 @@ LINEAR = "LinearRegression"
 RIDGE = "Ridge(alpha=10)"
 GBT = "XGBoost"
 GBT_WIDE = "LightGBM"
+KNN = "KNN"
 
 
 def lag_medians(train: DataFrame) -> DataFrame:
@@ -139,9 +141,11 @@ def fit_predict_gbt(train: DataFrame, score: DataFrame, wide: bool = False, seed
 
 def registry() -> dict:
     """M9: the model registry, name -> fit_predict(train, score)."""
+    from fillwise.operators.knn import fit_predict_knn
     return {
         GBT: lambda tr, sc: fit_predict_gbt(tr, sc, wide=False),
         GBT_WIDE: lambda tr, sc: fit_predict_gbt(tr, sc, wide=True),
+        KNN: lambda tr, sc: fit_predict_knn(tr, sc),
         LINEAR: lambda tr, sc: fit_predict_linear(tr, sc, None),
         RIDGE: lambda tr, sc: fit_predict_linear(tr, sc, 10.0),
     }

@@ -528,7 +528,7 @@ def _model_query(name: str):
 
 
 for _key, _name in (("gbt_nowcast", ml.GBT), ("gbt_wide_nowcast", ml.GBT_WIDE),
-                    ("linear_nowcast", ml.LINEAR), ("ridge_nowcast", ml.RIDGE)):
+                    ("linear_nowcast", ml.LINEAR), ("ridge_nowcast", ml.RIDGE), ("knn_nowcast", ml.KNN)):
     REGISTRY[_key] = Query(_model_query(_name), {"pred": M2})
 
 
@@ -545,7 +545,7 @@ def q_model_sweep(ctx: Context) -> DataFrame:
         # each fit is materialized by its own Spark jobs; the fits run concurrently
         # (an iterative tree fit leaves most cores idle)
         return cut_lineage(fn(train, val).select(F.lit(name).alias("model"), TARGET, "pred"))
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=5) as pool:
         parts = list(pool.map(fit, ml.registry().items()))
     preds = parts[0]
     for p in parts[1:]:

@@ -74,3 +74,32 @@ def test_all_repeats_in_one_job_match_single_fits(spark):
         assert len(j) == test.where("repeat = 5").count() > 0
         for r in j:
             assert abs(r.pred - r.p1) <= tol * max(abs(r.p1), 1.0)
+
+
+def test_knn_is_exact_against_brute_force(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from fillwise.operators.knn import fit_predict_knn
+    from fillwise.plans.catalog import _holdout
+    from fillwise.plans.context import context
+    train, val = _holdout(context(spark, "/root/testdata/sf0.001"))
+    rep = {}
+    got = {tuple(r[:4]): r.pred for r in fit_predict_knn(train, val, report=rep)
+           .select(*KEY, "pred").collect()}
+    tr, sc = ml._features(train, val)
+    enc = ml._tree_encoder(ml.TREE_NUMERIC).fit(tr)
+    t = enc.transform(tr).select(vector_to_array("features").alias("x"), "total_gross_amount").collect()
+    s = enc.transform(sc).select(*KEY, vector_to_array("features").alias("x")).collect()
+    x = np.array([r.x for r in t])
+    y = np.array([r.total_gross_amount for r in t], dtype=float)
+    mu, sd = x.mean(0), x.std(0)
+    sd[sd == 0] = 1
+    xs = (x - mu) / sd
+    assert rep["pairs_compared"] <= rep["all_pairs"]
+    for r in s:
+        q = (np.array(r.x) - mu) / sd
+        d = np.sqrt(((xs - q) ** 2).sum(1))
+        idx = np.argsort(d, kind="stable")[:21]
+        dk = d[idx]
+        want = y[idx][dk == 0].mean() if (dk == 0).any() else (y[idx] / dk).sum() / (1 / dk).sum()
+        assert got[tuple(r[:4])] == pytest.approx(max(want, 0.0), rel=1e-9, abs=1e-6)
