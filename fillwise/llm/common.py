@@ -79,3 +79,13 @@ def out_batches(rows: Iterable[tuple], schema: pa.Schema, weigh=None) -> Iterato
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+#: Rows up to which a narrow stored table is broadcast; beyond, the join shuffles.
+SMALL_ROWS = 20_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast hint for a stored narrow table of at most ``rows`` rows, found by counting
+    it; a larger one is joined by shuffling."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

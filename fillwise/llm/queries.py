@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe
+from fillwise.llm import bpe, mixing
 from fillwise.llm.common import table
 
 
@@ -19,8 +19,69 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    m = F.col("_mix")
+    return mixing.mix(docs, size=F.col("size")).select(
+        "doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"),
+        m["target"].alias("target"), m["taken"].alias("taken"))
+
+
+OP9_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0)::BIGINT AS size,
+         coalesce(doc_id::VARCHAR, '') AS k
+  FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS words FROM docs GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS idx FROM s0),
+s2 AS (SELECT *, ([{', '.join(map(str, mixing.WEIGHTS))}])[(idx - 1) % {len(mixing.WEIGHTS)} + 1]::DOUBLE AS weight,
+              ({mixing.CAP} * words)::DOUBLE AS capped FROM s1),
+s3 AS (SELECT *, ({mixing.SHARE}::DOUBLE * (sum(words) OVER ())::DOUBLE
+         - coalesce(sum(capped) OVER (ORDER BY words / weight, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY words / weight, idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+       FROM s2),
+s4 AS (SELECT *, least(capped, weight * coalesce(max(CASE WHEN level * weight <= capped THEN level END) OVER (), 0)) AS target FROM s3),
+s5 AS (SELECT *, floor(sum(target) OVER () / {mixing.BLOCK})::BIGINT AS blocks,
+              greatest(1, least({mixing.SHARDS_MOST}, ceil(words / {mixing.SHARD_WORDS}.0)))::BIGINT AS shards FROM s4),
+-- seats of the sources: every quotient up to a bound competes
+s6 AS (SELECT idx, target / (2 * j - 1) AS q, j, blocks FROM (
+         SELECT idx, target, blocks, unnest(generate_series(1, (2 * target / {mixing.BLOCK})::BIGINT + 2)) AS j FROM s5)),
+s7 AS (SELECT idx, count(*) AS seats FROM (
+         SELECT idx, blocks, row_number() OVER (ORDER BY q DESC, idx, j) AS r FROM s6) WHERE r <= blocks GROUP BY idx),
+d1 AS (SELECT d.*, s.idx, s.shards, s.words, s.target,
+              ('0x' || substr(md5(k || '#{mixing.SEED}/shard'), 1, 8))::BIGINT % 2147483648 % s.shards AS shard
+       FROM docs d JOIN s5 s ON d.source IS NOT DISTINCT FROM s.source),
+h1 AS (SELECT idx, shard, sum(size)::BIGINT AS shard_words FROM d1 GROUP BY ALL),
+h2 AS (SELECT h1.*, coalesce(seats, 0) AS seats, ceil(shard_words / {mixing.BLOCK}.0)::BIGINT AS n FROM h1 LEFT JOIN s7 USING (idx)),
+h3 AS (SELECT idx, shard, seats, shard_words / (2 * j - 1)::DOUBLE AS q, j FROM (
+         SELECT idx, shard, seats, shard_words,
+                unnest(generate_series(1, (3 * shard_words / {mixing.BLOCK})::BIGINT + 3)) AS j FROM h2)),
+h4 AS (SELECT idx, shard, count(*) AS quota FROM (
+         SELECT idx, shard, seats, row_number() OVER (PARTITION BY idx ORDER BY q DESC, shard, j) AS r FROM h3)
+       WHERE r <= seats GROUP BY ALL),
+h5 AS (SELECT h2.idx, h2.shard, n, least(coalesce(quota, 0), {mixing.CAP} * n) AS quota,
+              CASE WHEN n > 0 THEN ('0x' || substr(md5(h2.idx || '/' || h2.shard || '#{mixing.SEED}/from'), 1, 8))::BIGINT
+                                   % 2147483648 % n ELSE 0 END AS lo
+       FROM h2 LEFT JOIN h4 USING (idx, shard)),
+h6 AS (SELECT *, CASE WHEN n > 0 THEN quota // n ELSE 0 END AS passes FROM h5),
+h7 AS (SELECT *, quota - passes * n AS extra FROM h6),
+d2 AS (SELECT *, sum(size) OVER (PARTITION BY idx, shard ORDER BY md5(k || '#{mixing.SEED}/order'), doc_id, size
+                                 ROWS UNBOUNDED PRECEDING) AS e FROM d1)
+SELECT doc_id, size, words AS source_size, target,
+       (passes * size
+        + greatest(0, least(e, least(lo + extra, n) * {mixing.BLOCK}) - greatest(e - size, lo * {mixing.BLOCK}))
+        + greatest(0, least(e, (lo + extra - n) * {mixing.BLOCK}) - (e - size)))::BIGINT AS taken
+FROM d2 JOIN h7 USING (idx, shard)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op9_mix_sources": op9_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_mix_sources": OP9_SQL,
+}
