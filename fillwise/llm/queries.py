@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, mixing
+from fillwise.llm import bpe, mixing, quality
 from fillwise.llm.common import table
 
 
@@ -19,6 +19,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out("doc_id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
@@ -79,6 +88,7 @@ FROM d2 JOIN h7 USING (idx, shard)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op7_quality": op7_quality,
     "op9_mix_sources": op9_mix_sources,
 }
 
