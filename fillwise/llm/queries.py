@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, mixing, quality
+from fillwise.llm import bpe, minhash, mixing, quality
 from fillwise.llm.common import table
 
 
@@ -37,6 +37,11 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         m["target"].alias("target"), m["taken"].alias("taken"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = f"""
 WITH docs AS (
   SELECT doc_id, source,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op7_quality": op7_quality,
     "op9_mix_sources": op9_mix_sources,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLES: dict[str, str] = {
