@@ -8,10 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, minhash, mixing, quality
+from fillwise.llm import bpe, minhash, mixing, quality, suffix
 from fillwise.llm.common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat an earlier document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
+                                              F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"))
@@ -92,6 +99,7 @@ FROM d2 JOIN h7 USING (idx, shard)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op7_quality": op7_quality,
     "op9_mix_sources": op9_mix_sources,
