@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, minhash, mixing, quality, suffix
+from fillwise.llm import bpe, langid, minhash, mixing, quality, suffix
 from fillwise.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out("doc_id", 4, 2)))
+    return langid.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +109,7 @@ FROM d2 JOIN h7 USING (idx, shard)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_langid": op4_langid,
     "op7_quality": op7_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_minhash": op10_minhash,
