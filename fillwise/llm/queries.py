@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, langid, minhash, mixing, quality, suffix
+from fillwise.llm import bpe, html_extract, langid, minhash, mixing, quality, suffix
 from fillwise.llm.common import table
 
 
@@ -43,6 +43,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extracted(pages, html_extract.fit(pages))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_langid": op4_langid,
     "op7_quality": op7_quality,
+    "op8_main_text": op8_main_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_minhash": op10_minhash,
 }
