@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, html_extract, langid, minhash, mixing, quality, suffix
+from fillwise.llm import bpe, embed_dedup, html_extract, langid, minhash, mixing, quality, suffix
 from fillwise.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and component of every embedding."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_langid": op4_langid,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op7_quality": op7_quality,
     "op8_main_text": op8_main_text,
     "op9_mix_sources": op9_mix_sources,
