@@ -8,10 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import bpe, embed_dedup, html_extract, langid, minhash, mixing, quality, suffix
+from fillwise.llm import ann, bpe, embed_dedup, html_extract, langid, minhash, mixing, quality, quotes, suffix
 from fillwise.llm.common import table
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest neighbours found of every 100th embedding."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat an earlier document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +44,11 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotations, with what it answers; ordered for reading."""
+    return quotes.link(table(spark, sf_dir, "conversations")).orderBy("conv_id", "thread", "turn")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -118,10 +128,12 @@ FROM d2 JOIN h7 USING (idx, shard)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_langid": op4_langid,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_quotation_links": op6_quotation_links,
     "op7_quality": op7_quality,
     "op8_main_text": op8_main_text,
     "op9_mix_sources": op9_mix_sources,
