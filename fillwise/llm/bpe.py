@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillwise.llm.common import out_batches
+from fillwise.llm.common import out_batches, ship
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Entries that a worker keeps of whole pieces and of token pairs.
@@ -227,6 +227,7 @@ def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", p
                      pattern: str | None = None) -> DataFrame:
     """Per row: key, n_tokens, ids (binary, little-endian unsigned 32-bit) and decoded
     (binary: the bytes that the ids stand for)."""
+    ship(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     pattern = pattern or public_tokenizers.PATTERN
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])

@@ -43,6 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back."""
+    ship(df.sparkSession)
     return cut_lineage(df)
 
 

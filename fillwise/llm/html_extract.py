@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from fillwise.llm.common import ship
+
 #: Pages whose blocks train the classifier at most.
 SAMPLE_PAGES = 1000
 #: Smoothness of neighbours, and how it falls with each step through the tree.
@@ -313,6 +315,7 @@ def main_text(page: str, weights: np.ndarray) -> str:
 
 def fit(pages: DataFrame, key: str = "page_id", page: str = "html", sample: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights of the classifier from a bounded sample of pages."""
+    ship(pages.sparkSession)
     n = pages.count()
     some = pages.where(F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(n, 1))))
 
@@ -332,6 +335,7 @@ def fit(pages: DataFrame, key: str = "page_id", page: str = "html", sample: int
 
 def extracted(pages: DataFrame, weights: np.ndarray, page: str = "html") -> DataFrame:
     """``pages`` with text and n_chars in place of the html column."""
+    ship(pages.sparkSession)
     at = pages.columns.index(page)
     rest = [i for i in range(len(pages.columns)) if i != at]
 

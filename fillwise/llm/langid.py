@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fillwise.llm.common import out_batches, stored
+from fillwise.llm.common import out_batches, ship, stored
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Labelled texts that teach at most, rounds of expectation maximisation, and tasks that sum.
@@ -230,6 +230,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def identified(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its posterior; other columns pass through."""
+    ship(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

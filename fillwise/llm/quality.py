@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fillwise.llm import textblocks
-from fillwise.llm.common import stored
+from fillwise.llm.common import ship, stored
 
 #: Labelled rows that fit the model at most.
 TRAIN_ROWS = 60_000
@@ -229,6 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score column; every other column passes through."""
+    ship(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
