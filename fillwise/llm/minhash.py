@@ -3,15 +3,16 @@
 A document's set is its distinct shingles of ``SHINGLE`` words (A-Z lower-cased, words are
 runs of non-space bytes) as 64-bit hashes; a shorter text is one shingle. Equal sets form a
 class, named by its smallest doc_id; only one row a class goes on. Signatures of ``BANDS`` x
-``ROWS`` minima are banded; a bucket's members meet its smallest and its largest member.
+``ROWS`` minima are banded; each class meets a few centres of its buckets.
 Candidate pairs compare their signatures batch by batch: after each batch the posterior
 probability (uniform prior) that the similarity reaches the threshold is bounded, and a pair
 below ``MISS`` is dropped. Survivors are verified on the full sets. Where a bucket's members
-are still in different components after that, they are compared all with all, in blocks, by
-the same batches, so no link is left to the choice of the bucket's centres.
+are still in different components after that, they are compared all with all by the same
+batches and verified on their sets, so no link is left to the choice of centres. Those pairs
+never leave the task: it has the members' signatures and sets, and returns links only.
 
-Work per hot bucket: the centres take a min/max aggregation and a join that Spark may split;
-the blocks are dealt by (bucket, part, part).
+Work per hot bucket: the centres take a min-aggregation and a join that Spark may split; the
+members are dealt in blocks (bucket, part, part).
 
 Rows: null or empty texts have an empty set, size 0, and link with nothing. A null doc_id
 takes no part (its component is null, it is kept). Rows that repeat a doc_id are one
@@ -42,6 +43,8 @@ BANDS = 25
 ROWS = 5
 #: Chosen probability of dropping a pair that reaches the threshold, at each batch.
 MISS = 1e-5
+#: Orders of the nodes by which a bucket's centres are chosen.
+ORDERS = (0, -1, 0x5A5A5A5A5A5A5A5A, 0x3C3C3C3C3C3C3C3C)
 #: Members of a bucket in one part of the all-with-all comparison.
 PART = 1000
 #: Rows of candidate ids that may be broadcast to filter the second reading of the texts.
@@ -118,15 +121,21 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
         run, "doc_id long, n long, digest binary, signature binary")
 
 
+def band_hashes(sig: np.ndarray) -> np.ndarray:
+    """signatures -> a hash of each band and its number."""
+    rows = sig.astype(U64).reshape(-1, BANDS, ROWS)
+    with np.errstate(over="ignore"):
+        h = np.zeros(rows.shape[:2], U64) + np.arange(BANDS, dtype=U64)
+        for r in range(ROWS):
+            h = textblocks.mixed((h ^ rows[:, :, r]) * _BAND[r])
+    return h
+
+
 def banded(classes: DataFrame) -> DataFrame:
     """(node, bucket): the hash of each band of the signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = _matrix(batch.column(1)).astype(U64).reshape(-1, BANDS, ROWS)
-            with np.errstate(over="ignore"):
-                h = np.zeros(sig.shape[:2], U64) + np.arange(BANDS, dtype=U64)
-                for r in range(ROWS):
-                    h = textblocks.mixed((h ^ sig[:, :, r]) * _BAND[r])
+            h = band_hashes(_matrix(batch.column(1)))
             node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(h.ravel().view(np.int64))], ["node", "bucket"])
 
@@ -182,16 +191,20 @@ def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) -> those whose full sets reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+                keep.append(similar(np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
@@ -200,8 +213,8 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, hashes) for the named documents: a second reading of their texts."""
-    schema = pa.schema([("node", pa.int64()), ("hashes", pa.binary())])
+    """(node, digest, hashes) for the named documents: a second reading of their texts."""
+    schema = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("hashes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -211,49 +224,57 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
                     h, at = shingle_sets(b)
                     for i in range(b.texts):
                         if at[i] < at[i + 1]:
-                            yield ids[b.first + i], h[at[i] : at[i + 1]].tobytes()
+                            hashes = h[at[i] : at[i + 1]].tobytes()
+                            yield ids[b.first + i], xxhash.xxh3_128_digest(hashes), hashes
 
         yield from out_batches(rows(), schema)
 
     wanted = small_side(nodes.select(F.col("node").alias("_node")), NEEDED_ROWS)
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    return rows.join(wanted, F.col("_id") == F.col("_node"), "left_semi").mapInArrow(run, "node long, hashes binary")
+    return rows.join(wanted, F.col("_id") == F.col("_node"), "left_semi").mapInArrow(run, "node long, digest binary, hashes binary")
 
 
-def cross_pairs(buckets: DataFrame, labelled: DataFrame, classes: DataFrame) -> DataFrame:
-    """Plausible pairs that share a bucket but not a component. ``buckets``: (node, bucket) of
-    shared buckets; ``labelled``: (node, component) of linked nodes."""
+def cross_links(buckets: DataFrame, labelled: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between members of a bucket that are not yet in one component.
+    ``buckets``: (node, bucket) of shared buckets; ``labelled``: (node, component) of linked nodes.
+    The pairs stay in the task; a pair is looked at in the first band that it shares."""
     member = (buckets.join(labelled, "node", "left")
               .select("node", "bucket", F.coalesce("component", "node").alias("component")))
     split = member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                          F.count(F.lit(1)).alias("size")).where(F.col("lo") < F.col("hi"))
     parts = F.ceil(F.col("size") / PART).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     open_ = (member.join(split.select("bucket", parts.alias("parts")), "bucket")
-             .withColumn("part", mine))
+             .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     # each member goes to the blocks (p, q), p <= q, of which its part is one
     dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "node", "component", "bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") == F.least("part", "other")).alias("left"))
-    full = dealt.join(classes.select("node", "n", "signature"), "node")
+    known = stored(classes.select("node", "digest", "signature").join(sets, ["node", "digest"]).drop("digest"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, HASHES)
-        node, comp, n = (group[c].to_numpy() for c in ("node", "component", "n"))
-        left = group["left"].to_numpy()
+        node, comp, left = (group[c].to_numpy() for c in ("node", "component", "left"))
+        full = [np.frombuffer(h, U64) for h in group["hashes"]]
+        n = np.array([*map(len, full)])
+        bands = sig.reshape(len(sig), BANDS, ROWS)
+        here = band_hashes(sig) == group["bucket"].to_numpy().view(U64)[:, None]
+        band = int(here.any(0).argmax())
         same = group["p"].iloc[0] == group["q"].iloc[0]
-        right_at = np.arange(len(node)) if same else np.flatnonzero(~left)
+        others = np.arange(len(node)) if same else np.flatnonzero(~left)
         out = []
         for i in np.arange(len(node)) if same else np.flatnonzero(left):
-            j = right_at[(comp[right_at] != comp[i]) & ((node[right_at] > node[i]) if same else True)]
-            j = j[(100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))]
-            if len(j):
-                ok = j[plausible(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j])]
-                out.append(np.stack([np.maximum(node[ok], node[i]), np.minimum(node[ok], node[i])], 1))
-        out = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]}).drop_duplicates()
+            j = others[comp[others] != comp[i]]
+            if same:
+                j = j[node[j] > node[i]]
+            j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
+            j = j[~(bands[j, :band] == bands[i, :band]).all(2).any(1)]
+            j = j[plausible(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j])]
+            for k in j.tolist():
+                if similar(full[i], full[k]):
+                    out.append((max(node[i], node[k]), min(node[i], node[k])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return full.groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long").distinct()
+    return dealt.join(known, "node").groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,19 +286,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                      .select("node", "n", "digest", "signature").dropDuplicates(["node", "digest"]))
 
     bands = banded(classes)
-    centres = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(F.col("lo") < F.col("hi"))
+    # a node meets one centre of its buckets in each of a few orders (node ^ c, ascending)
+    first = [F.min(F.col("node").bitwiseXOR(F.lit(c))).alias(f"c{i}") for i, c in enumerate(ORDERS)]
+    centres = bands.groupBy("bucket").agg(*first, F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).drop("members")
     shared = stored(bands.join(centres, "bucket"))
-    stars = shared.select(F.explode(F.array(F.struct(F.col("node").alias("a"), F.col("lo").alias("b")),
-                                            F.struct(F.col("hi").alias("a"), F.col("node").alias("b")))).alias("p"))
-    stars = stars.select("p.a", "p.b").where(F.col("a") > F.col("b")).distinct()
-    sets = stored(full_sets(docs, stored(shared.select("node").distinct()), key, text))
+    met = shared.groupBy("node").agg(*[F.min(f"c{i}").alias(f"c{i}") for i in range(len(ORDERS))])
+    met = stored(met.select("node", F.explode(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(c)) for i, c in enumerate(ORDERS)])).alias("centre")))
+    stars = (met.where(F.col("node") != F.col("centre"))
+             .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct())
+    sets = stored(full_sets(docs, met.select("node").distinct(), key, text))
 
-    tried = stored(prune(stars, classes))
-    links = stored(verify(tried, sets))
+    links = stored(verify(prune(stars, classes), sets))
     labelled = stored(components(links))
-    more = cross_pairs(shared.select("node", "bucket"), labelled, classes)
-    more = stored(more.join(tried, ["a", "b"], "left_anti"))
-    links = links.unionByName(verify(more, sets))
+    links = links.unionByName(stored(cross_links(shared.select("node", "bucket"), labelled, classes, sets)))
 
     # a document with several texts ties their classes together
     heads_of = rows.join(heads, "digest", "left").select("doc_id", "n", "node")
