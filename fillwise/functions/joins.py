@@ -42,11 +42,3 @@ def attach_scalars(df: DataFrame, scalars: DataFrame, by: Sequence[str] = (),
         one = scalars.agg(*[F.max(c).alias(c) for c in scalars.columns])
         return df.crossJoin(F.broadcast(one))
     return lookup_join(df, scalars, by, "left", bound=bound)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast hint after a real size check: count up to ``max_rows + 1`` rows
-    (a cheap job on a small, usually materialized input); beyond the limit the
-    join stays a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -15,8 +15,7 @@ Here a value at a given rank is found without either:
    slices + groups rows);
 4. only the slices holding the wanted ranks are re-read and ranked locally.
 
-Inputs whose measured size is under ``SINGLE_BUFFER_BYTES`` take a shortcut with
-the same results: one sorted list per group.
+The same steps run at every size.
 
 ``exact_quantiles`` gives pandas' ``Series.quantile`` / DuckDB's ``quantile_cont``
 (linear interpolation, computed as lo + t * (hi - lo) like DuckDB; numpy's
@@ -72,39 +71,8 @@ def _pick(ranged: DataFrame, stats: DataFrame, requests: DataFrame, by: list[str
             .select(*by, "_req", "_x"))
 
 
-# Inputs whose plan statistics put them under this size may be quantiled in one
-# sorted buffer per group; anything larger (or unknown) takes the sliced path.
-SINGLE_BUFFER_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes for scans, no job run)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): unknown
-        return None
-
-
-def _small_quantiles(keyed: DataFrame, probs: Mapping[str, float], by: list[str]) -> DataFrame:
-    """Same order statistics and interpolation as the sliced path, from one sorted
-    list per group: only for inputs proven small by their plan statistics."""
-    g = keyed.groupBy(*by) if by else keyed
-    agg = g.agg(F.sort_array(F.collect_list("_x")).alias("_xs"))
-    n = F.size("_xs")
-    outs = []
-    for name, q in probs.items():
-        p = F.lit(float(q)) * (n - F.lit(1))
-        frac = p - F.floor(p)
-        lo = F.element_at("_xs", (F.floor(p) + 1).cast("int"))
-        hi = F.element_at("_xs", (F.ceil(p) + 1).cast("int"))
-        outs.append(F.when(frac == 0, lo).otherwise(lo + frac * (hi - lo)).alias(name))
-    return agg.where(n > 0).select(*by, *outs)
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                    by: Sequence[str] = (), slices: int | None = None,
-                    single_buffer_bytes: int | None = None) -> DataFrame:
+                    by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """One row per ``by`` group that has a non-null value; one column per prob.
 
     NULL and NaN values are skipped (pandas skips NaN). Groups with a NULL key
@@ -112,22 +80,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     """
     by = list(by)
     x = F.col(value).cast("double")
-    limit = SINGLE_BUFFER_BYTES if single_buffer_bytes is None else single_buffer_bytes
-    keyed = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    for b in by:
-        keyed = keyed.where(F.col(b).isNotNull())
-    size = estimated_bytes(keyed)
-    if limit > 0 and (size is None or size > limit):
-        # Plan estimates of derived inputs are loose (joins multiply them): write the
-        # narrow (group, value) projection once and decide on its real size. The
-        # sliced path reads this copy instead of the whole upstream plan.
-        keyed = cut_lineage(keyed)
-        size = estimated_bytes(keyed)
-    if size is not None and size <= limit:
-        return _small_quantiles(keyed, probs, by)
-    df = keyed.withColumnRenamed("_x", "_v")
-    x = F.col("_v")
-    ranged, stats = _slices(df.where(x.isNull() | ~F.isnan(x)), x, by, slices)
+    known = df.select(*by, x.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranged, stats = _slices(known, "_v", by, slices)
     # Rank requests come straight from the (slice, group) rows, which know the
     # group size: the slice holding a wanted rank keeps the request.
     wanted = F.array(*[F.struct(F.lit(f"{side}_{name}").alias("_req"), F.lit(float(q)).alias("_p"),
@@ -159,8 +113,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
 
 
 def grouped_and_global_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                                 groups: Sequence[str], by: Sequence[str] = (),
-                                 single_buffer_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+                                 groups: Sequence[str], by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Per-(by, groups) and per-(by) quantiles from ONE rank-selection pass.
 
     The rows are stacked twice with a level key (the global copy has its group
@@ -171,30 +124,17 @@ def grouped_and_global_quantiles(df: DataFrame, value: str, probs: Mapping[str,
     rows = df.select(*by, *groups, F.col(value).alias("_v"))
     stacked = (rows.select(*by, *groups, "_v", F.lit(0).alias("_lvl"))
                .unionByName(rows.select(*by, *[F.lit("").alias(g) for g in groups], "_v", F.lit(1).alias("_lvl"))))
-    q = exact_quantiles(stacked, "_v", probs, [*by, "_lvl", *groups], single_buffer_bytes=single_buffer_bytes)
+    q = exact_quantiles(stacked, "_v", probs, [*by, "_lvl", *groups])
     per_group = q.where(F.col("_lvl") == 0).drop("_lvl")
     glob = q.where(F.col("_lvl") == 1).drop("_lvl", *groups)
     return per_group, glob
 
 
-def kth_smallest(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None,
-                 single_buffer_bytes: int | None = None) -> DataFrame:
+def kth_smallest(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
     """Per ``by`` group, the ``k._k``-th smallest ``key`` (or the largest when the
     group has fewer rows): (by..., _cut). Groups with ``_k <= 0`` are absent."""
     by = list(by)
-    limit = SINGLE_BUFFER_BYTES if single_buffer_bytes is None else single_buffer_bytes
     keyed = df.select(*by, F.col(key).alias("_x")).where(F.col("_x").isNotNull())
-    size = estimated_bytes(keyed)
-    if limit > 0 and (size is None or size > limit):
-        keyed = cut_lineage(keyed)
-        size = estimated_bytes(keyed)
-    if size is not None and size <= limit:
-        # proven small: one ranked window per group is fine
-        w = Window.partitionBy(*by).orderBy("_x")
-        ranked = (lookup_join(keyed, k.select(*by, "_k"), by, "inner").where(F.col("_k") > 0)
-                  .withColumn("_rn", F.row_number().over(w))
-                  .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by))))
-        return ranked.where(F.col("_rn") == F.least(F.col("_k"), F.col("_n"))).select(*by, F.col("_x").alias("_cut"))
     ranged, stats = _slices(keyed, "_x", by, slices)
     sizes = stats.select(*by, "_n").distinct()
     req = (lookup_join(sizes, k.select(*by, "_k"), by, "inner")
@@ -204,18 +144,17 @@ def kth_smallest(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slice
 
 
 def flag_smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], flag: str,
-                    slices: int | None = None, single_buffer_bytes: int | None = None) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """``df`` with ``flag`` true on the rows whose ``key`` is among the ``k._k``
     smallest of their ``by`` group. Keys are assumed distinct within a group."""
-    cut = kth_smallest(df, key, k, by, slices, single_buffer_bytes)
+    cut = kth_smallest(df, key, k, by, slices)
     out = lookup_join(df, cut, list(by), "left")
     return out.withColumn(flag, F.coalesce(F.col(key) <= F.col("_cut"), F.lit(False))).drop("_cut")
 
 
-def smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None,
-               single_buffer_bytes: int | None = None) -> DataFrame:
+def smallest_k(df: DataFrame, key: str, k: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is among the ``k._k`` smallest of its ``by`` group."""
-    cut = kth_smallest(df, key, k, by, slices, single_buffer_bytes)
+    cut = kth_smallest(df, key, k, by, slices)
     return lookup_join(df, cut, list(by), "inner").where(F.col(key) <= F.col("_cut")).drop("_cut")
 
 

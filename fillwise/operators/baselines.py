@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, MONTH, STREAMS, TARGET
 from fillwise.functions.joins import attach_scalars, lookup_join
-from fillwise.functions.money import money_mean, money_sum
+from fillwise.functions.money import exact, money_mean
 from fillwise.functions.quantiles import exact_quantiles
 from fillwise.functions.safe import non_negative, safe_div
+from fillwise.session import cut_lineage
 
 
 def _scalars(df: DataFrame, by: Sequence[str], *aggs) -> DataFrame:
@@ -34,22 +35,25 @@ def group_average(train: DataFrame, score: DataFrame, by: Sequence[str] = (),
 
 
 def epsr_rates(train: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Ratio of sums at cohort, territory+dsp, dsp and global level, one
-    GROUPING SETS job (the four lookups read one shared aggregate)."""
+    """Ratio of sums at cohort, territory+dsp, dsp and global level.
+
+    ``train`` is read once: the exact cohort sums are written, and the upper levels add
+    them up (sums are additive, decimals exact in any order)."""
     by = list(by)
     keys = [*by, *COHORT]
-    sets = [keys, [*by, "territory_name", "dsp"], [*by, "dsp"], [*by]]
-    g = (train.groupingSets(sets, *keys)
-         .agg(money_sum(TARGET).alias("_rev"), F.sum(STREAMS).alias("_str"),
-              F.grouping("business_unit").alias("_gb"), F.grouping("territory_name").alias("_gt"),
-              F.grouping("dsp").alias("_gd")))
-    rate = safe_div("_rev", "_str")
+    cohort = cut_lineage(train.groupBy(*keys).agg(
+        F.sum(exact(TARGET)).alias("_rev"), F.sum(STREAMS).alias("_str")))
+
+    def level(names: list[str], out: str) -> DataFrame:
+        sums = [F.sum("_rev").alias("_rev"), F.sum("_str").alias("_str")]
+        g = cohort if names == keys else cohort.groupBy(*names).agg(*sums) if names else cohort.agg(*sums)
+        return g.select(*names, safe_div(F.col("_rev").cast("double"), "_str").alias(out))
+
     return {
-        "cohort": g.where((F.col("_gb") == 0)).select(*keys, rate.alias("epsr_cohort")),
-        "territory_dsp": g.where((F.col("_gb") == 1) & (F.col("_gt") == 0))
-        .select(*by, "territory_name", "dsp", rate.alias("epsr_territory_dsp")),
-        "dsp": g.where((F.col("_gt") == 1) & (F.col("_gd") == 0)).select(*by, "dsp", rate.alias("epsr_dsp")),
-        "global": g.where(F.col("_gd") == 1).select(*by, rate.alias("epsr_global")),
+        "cohort": level(keys, "epsr_cohort"),
+        "territory_dsp": level([*by, "territory_name", "dsp"], "epsr_territory_dsp"),
+        "dsp": level([*by, "dsp"], "epsr_dsp"),
+        "global": level(by, "epsr_global"),
     }
 
 

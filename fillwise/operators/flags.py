@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fillwise.config import DEFAULT, FLAG, STREAMS, TARGET, Params
 from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.quantiles import exact_quantiles
+from fillwise.session import cut_lineage
 
 
 def known_strict() -> Column:
@@ -44,12 +45,12 @@ def to_nowcast() -> Column:
 
 
 def fe_stats(known: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A5: (global mean, territory mean/n, dsp mean/n) of ``z`` from one GROUPING SETS job."""
+    """A5: (global mean, territory mean/n, dsp mean/n) of ``z`` from one GROUPING SETS job, written once."""
     by = list(by)
     sets = [[*by], [*by, "territory_name"], [*by, "dsp"]]
-    g = (known.groupingSets(sets, *by, "territory_name", "dsp")
-         .agg(F.avg("_z").alias("_mean"), F.count(F.lit(1)).alias("_n"),
-              F.grouping("territory_name").alias("_gt"), F.grouping("dsp").alias("_gd")))
+    g = cut_lineage(known.groupingSets(sets, *by, "territory_name", "dsp")
+                    .agg(F.avg("_z").alias("_mean"), F.count(F.lit(1)).alias("_n"),
+                         F.grouping("territory_name").alias("_gt"), F.grouping("dsp").alias("_gd")))
     mu = g.where((F.col("_gt") == 1) & (F.col("_gd") == 1)).select(*by, F.col("_mean").alias("_mu"))
     terr = g.where(F.col("_gt") == 0).select(*by, "territory_name", F.col("_mean").alias("_t_mean"),
                                              F.col("_n").alias("_t_n"))

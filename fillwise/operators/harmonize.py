@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fillwise.config import (GRAIN, OTHER_DSP, OTHER_TERRITORY, REFERENCE_DSP_FAMILIES,
                              REFERENCE_TERRITORIES, STREAMS, TARGET)
-from fillwise.functions.joins import broadcast_if_small, lookup_join
+from fillwise.functions.joins import lookup_join
 from fillwise.functions.money import money_sum
 from fillwise.functions.safe import finite_or_null
 
@@ -30,17 +30,17 @@ def label_map_frame(spark: SparkSession, families: Mapping[str, Sequence[str]] =
 def canonicalize_dsp(revenue: DataFrame, label_map: DataFrame, raw_col: str = "dsp") -> DataFrame:
     """Raw label -> family by an exact, case-sensitive match; unmapped -> Other.
 
-    The map is a closed vocabulary of labels (tens of rows), so it is broadcast.
+    The map is the user's, of any length: Spark broadcasts it when its size allows.
     """
     lm = label_map.select(F.col("raw_dsp").alias("_raw"), F.col("dsp").alias("_family"))
-    out = lookup_join(revenue.withColumnRenamed(raw_col, "_raw"), lm, ["_raw"], "left", bound=10_000)
+    out = lookup_join(revenue.withColumnRenamed(raw_col, "_raw"), lm, ["_raw"], "left")
     return out.withColumn("dsp", F.coalesce(F.col("_family"), F.lit(OTHER_DSP))).drop("_family")
 
 
 def unmapped_labels(revenue: DataFrame, label_map: DataFrame, raw_col: str = "dsp") -> DataFrame:
     """Raw labels that fell to Other, with the revenue they carry."""
     lm = label_map.select(F.col("raw_dsp").alias(raw_col))
-    return (lookup_join(revenue, lm, [raw_col], "left_anti", bound=10_000)
+    return (lookup_join(revenue, lm, [raw_col], "left_anti")
             .groupBy(F.col(raw_col).alias("raw_dsp"))
             .agg(money_sum(TARGET).alias(TARGET)))
 
@@ -70,13 +70,12 @@ def territory_static(streams: DataFrame, names: Sequence[str] = REFERENCE_TERRIT
 def territory_dynamic(streams: DataFrame, known: DataFrame) -> DataFrame:
     """Country kept if it occurs as a revenue territory, else All Other Locations.
 
-    An existence join. The territory list is broadcast after a row-count check
-    (no shuffle of the streams by country, where one hot country would land in
-    one task); a longer list falls back to a shuffle join. A NULL country never
-    matches (SQL ``IN`` semantics).
+    An existence join against the distinct names; Spark broadcasts them when their
+    size allows and splits a hot country otherwise. A NULL country never matches
+    (SQL ``IN`` semantics).
     """
     k = known.select(F.col("territory_name").alias("country"), F.lit(True).alias("_known"))
-    out = streams.join(broadcast_if_small(k), "country", "left")
+    out = streams.join(k, "country", "left")
     return (out.withColumn("territory_name",
                            F.when(F.col("_known"), F.col("country")).otherwise(F.lit(OTHER_TERRITORY)))
             .drop("_known"))

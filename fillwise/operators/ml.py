@@ -35,11 +35,12 @@ from fillwise.functions.safe import non_negative
 
 LAGS = ("gross_lag_1", "streams_lag_1", "epsr_lag_1")
 
-# Model labels of the reference's registry.
+# Model labels. Those of the linear models and KNN are fixed values of the reference's
+# registry; the tree models are Spark ML's and are named as what they are.
 LINEAR = "LinearRegression"
 RIDGE = "Ridge(alpha=10)"
-GBT = "XGBoost"
-GBT_WIDE = "LightGBM"
+GBT = "SparkGBT"
+GBT_WIDE = "SparkGBT(depth=5)"
 KNN = "KNN"
 
 

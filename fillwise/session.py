@@ -54,6 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def _run_folder(spark: SparkSession) -> str:
+    """This run's folder under the checkpoint folder; Hadoop deletes it when the driver ends."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_fillwise_run"):
+        path = os.path.join(checkpoint_dir(spark), "fillwise", uuid.uuid4().hex)
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        sc._fillwise_run = path
+    return sc._fillwise_run
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared checkpoint folder and
     return a DataFrame that reads it back.
@@ -64,6 +77,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     instead of recomputing the lineage; nothing lives on a machine-local disk.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "fillwise", uuid.uuid4().hex)
+    path = os.path.join(_run_folder(spark), uuid.uuid4().hex)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

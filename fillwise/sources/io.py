@@ -27,7 +27,8 @@ STREAMS_SCHEMA = StructType([
 
 
 def _read_csv(spark: SparkSession, path: str, schema: StructType, infer: bool) -> DataFrame:
-    reader = spark.read.option("header", True)
+    # a value that doesn't parse, or a header that isn't the schema's, stops the run
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
     reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
     return reader.csv(path)
 
@@ -45,8 +46,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """Rows of a month together, so that a month is few files; a hot month is split."""
+    return df.hint("rebalance", "month")
+
+
 def write_panel(panel: DataFrame, path: str) -> None:
-    panel.write.mode("overwrite").partitionBy("month").parquet(path)
+    _by_month(panel).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +70,7 @@ def write_outputs(final: DataFrame, suspicious: DataFrame, reliability: DataFram
         write_csv(suspicious, f"{path}/audit_suspicious_rows")
         write_csv(reliability, f"{path}/audit_dsp_month_reliability")
     else:
-        final.write.mode("overwrite").partitionBy("month").parquet(f"{path}/final_view")
+        _by_month(final).write.mode("overwrite").partitionBy("month").parquet(f"{path}/final_view")
         suspicious.write.mode("overwrite").parquet(f"{path}/audit_suspicious_rows")
         reliability.write.mode("overwrite").parquet(f"{path}/audit_dsp_month_reliability")
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/run_summary")

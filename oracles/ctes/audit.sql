@@ -24,9 +24,9 @@ reliability AS (
   FROM (
     SELECT month, dsp,
       CAST(coalesce(sum(total_streams), 0) AS BIGINT) AS total_streams,
-      coalesce(CAST(sum(CAST(filled_revenue AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_mid,
-      coalesce(CAST(sum(CAST(nowcast_lower_90 AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_lower,
-      coalesce(CAST(sum(CAST(nowcast_upper_90 AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_upper,
+      coalesce(CAST(sum(CAST(CAST(filled_revenue AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_mid,
+      coalesce(CAST(sum(CAST(CAST(nowcast_lower_90 AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_lower,
+      coalesce(CAST(sum(CAST(CAST(nowcast_upper_90 AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_upper,
       count(*) FILTER (WHERE value_status = 'nowcasted') AS nowcast_rows,
       count(*) AS total_rows
     FROM final_view GROUP BY month, dsp) g
@@ -42,11 +42,9 @@ rps_band AS (
   FROM (
     SELECT month, dsp,
       CAST(coalesce(sum(total_streams), 0) AS BIGINT) AS total_streams,
-      coalesce(CAST(sum(CAST(filled_revenue AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_mid,
-      coalesce(CAST(sum(CAST(CASE WHEN value_status = 'nowcasted' THEN nowcast_lower_90 ELSE filled_revenue END
-                              AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_lower,
-      coalesce(CAST(sum(CAST(CASE WHEN value_status = 'nowcasted' THEN nowcast_upper_90 ELSE filled_revenue END
-                              AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS revenue_upper,
+      coalesce(CAST(sum(CAST(CAST(filled_revenue AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_mid,
+      coalesce(CAST(sum(CAST(CAST(CASE WHEN value_status = 'nowcasted' THEN nowcast_lower_90 ELSE filled_revenue END AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_lower,
+      coalesce(CAST(sum(CAST(CAST(CASE WHEN value_status = 'nowcasted' THEN nowcast_upper_90 ELSE filled_revenue END AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS revenue_upper,
       count(*) FILTER (WHERE value_status = 'nowcasted') AS nowcast_rows,
       count(*) AS total_rows
     FROM final_view WHERE month IS NOT NULL AND dsp IS NOT NULL GROUP BY month, dsp) g

@@ -1,9 +1,9 @@
 -- The four rule-based models of the stress test, one fit per repeat (grp).
 bt_ga_cohort AS (
-  SELECT grp, business_unit, territory_name, dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS ga
+  SELECT grp, business_unit, territory_name, dsp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(total_gross_amount) AS ga
   FROM nc_train GROUP BY grp, business_unit, territory_name, dsp
 ),
-bt_ga_global AS (SELECT grp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS gg FROM nc_train GROUP BY grp),
+bt_ga_global AS (SELECT grp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(total_gross_amount) AS gg FROM nc_train GROUP BY grp),
 bt_naive_base AS (
   SELECT grp, month, business_unit, territory_name, dsp, total_gross_amount, false AS is_score FROM nc_train
   UNION ALL
@@ -41,9 +41,9 @@ bt_preds AS (
   FROM nowcast WHERE role = 'score'
 ),
 bt_overall AS (
-  SELECT model, repeat, count(*) AS rows, CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mae,
-    CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE)
-    / nullif(CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE), 0) AS wmape
+  SELECT model, repeat, count(*) AS rows, CAST(sum(CAST(CAST(abs(total_gross_amount - pred) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(*) AS mae,
+    CAST(sum(CAST(CAST(abs(total_gross_amount - pred) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE)
+    / nullif(CAST(sum(CAST(CAST(abs(total_gross_amount) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0) AS wmape
   FROM bt_preds GROUP BY model, repeat
 ),
 bt_summary AS (

@@ -2,20 +2,20 @@
 -- Revenue sums are exact DECIMAL sums, as in the engine.
 nc_rate_cohort AS (
   SELECT grp, business_unit, territory_name, dsp,
-         CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+         CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM nc_train GROUP BY grp, business_unit, territory_name, dsp
 ),
 nc_rate_td AS (
-  SELECT grp, territory_name, dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+  SELECT grp, territory_name, dsp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM nc_train GROUP BY grp, territory_name, dsp
 ),
 nc_rate_dsp AS (
-  SELECT grp, dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+  SELECT grp, dsp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM nc_train GROUP BY grp, dsp
 ),
 nc_rate_global AS (
-  SELECT grp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r,
-         coalesce(CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE)
+  SELECT grp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r,
+         coalesce(CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE)
                   / greatest(CAST(sum(total_streams) AS DOUBLE), 1.0), 0.0) AS gepsr
   FROM nc_train GROUP BY grp
 ),

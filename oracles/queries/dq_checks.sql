@@ -3,9 +3,9 @@ WITH chk AS (
   SELECT
     (SELECT count(*) FROM panel WHERE month IS NULL OR business_unit IS NULL
        OR territory_name IS NULL OR dsp IS NULL) AS null_dimension_rows,
-    (SELECT CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) FROM revenue) AS source_revenue,
+    (SELECT CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) FROM revenue) AS source_revenue,
     (SELECT CAST(sum(total_streams) AS BIGINT) FROM streams) AS source_streams,
-    (SELECT CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) FROM panel) AS final_revenue,
+    (SELECT CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) FROM panel) AS final_revenue,
     (SELECT CAST(sum(total_streams) AS BIGINT) FROM panel) AS final_streams
 )
 SELECT null_dimension_rows,

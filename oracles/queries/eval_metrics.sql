@@ -2,25 +2,25 @@
 WITH ka AS (SELECT * FROM lagged WHERE is_na = 0 AND is_zero = 0 AND total_streams > 0),
 gc AS (
   SELECT business_unit, territory_name, dsp,
-    CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS ga
+    CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(total_gross_amount) AS ga
   FROM ka GROUP BY business_unit, territory_name, dsp
 ),
-gg AS (SELECT CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_gross_amount) AS gg FROM ka),
+gg AS (SELECT CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(total_gross_amount) AS gg FROM ka),
 rc AS (
   SELECT business_unit, territory_name, dsp,
-    CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+    CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM ka GROUP BY business_unit, territory_name, dsp
 ),
 rtd AS (
   SELECT territory_name, dsp,
-    CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+    CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM ka GROUP BY territory_name, dsp
 ),
 rd AS (
-  SELECT dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
+  SELECT dsp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r
   FROM ka GROUP BY dsp
 ),
-rg AS (SELECT CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r FROM ka),
+rg AS (SELECT CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / nullif(sum(total_streams), 0) AS r FROM ka),
 preds AS (
   SELECT 'Group Average Baseline' AS model, p.total_gross_amount, coalesce(gc.ga, gg.gg) AS pred
   FROM bt_pool p
@@ -37,7 +37,7 @@ preds AS (
   CROSS JOIN rg
 )
 SELECT model, count(*) AS rows,
-  CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mae,
-  CAST(sum(CAST(abs(total_gross_amount - pred) AS DECIMAL(38,6))) AS DOUBLE)
-    / nullif(CAST(sum(CAST(abs(total_gross_amount) AS DECIMAL(38,6))) AS DOUBLE), 0) AS wmape
+  CAST(sum(CAST(CAST(abs(total_gross_amount - pred) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(*) AS mae,
+  CAST(sum(CAST(CAST(abs(total_gross_amount - pred) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE)
+    / nullif(CAST(sum(CAST(CAST(abs(total_gross_amount) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0) AS wmape
 FROM preds GROUP BY model

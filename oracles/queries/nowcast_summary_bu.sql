@@ -8,8 +8,8 @@ WITH s AS (
     count(*) FILTER (WHERE value_status = 'nowcasted' AND nowcast_reason = 'quality_flag_low_revenue_high_streams')
       AS reason_quality_flag,
     CAST(coalesce(sum(total_streams), 0) AS BIGINT) AS total_streams,
-    CAST(sum(CAST(coalesce(total_gross_amount, 0.0) AS DECIMAL(38,6))) AS DOUBLE) AS reported_revenue,
-    coalesce(CAST(sum(CAST(filled_revenue AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS filled_revenue
+    CAST(sum(CAST(CAST(coalesce(total_gross_amount, 0.0) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) AS reported_revenue,
+    coalesce(CAST(sum(CAST(CAST(filled_revenue AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE), 0.0) AS filled_revenue
   FROM final_view GROUP BY 1
 )
 SELECT business_unit, total_rows, total_rows - nowcast_rows AS actual_rows, nowcast_rows,

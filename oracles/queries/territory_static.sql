@@ -1,4 +1,5 @@
 -- ctes: panel
+-- fixed values: the territory list must equal the reference's
 SELECT country,
   CASE WHEN country IN ('Brazil', 'Canada', 'United States of America', 'Germany', 'United Kingdom',
                         'France', 'India', 'Australia', 'Mexico') THEN country

@@ -1,3 +1,3 @@
 -- ctes: panel
-SELECT dsp AS raw_dsp, CAST(sum(CAST(total_gross_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_gross_amount
+SELECT dsp AS raw_dsp, CAST(sum(CAST(CAST(total_gross_amount AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) AS total_gross_amount
 FROM revenue WHERE family = 'Other' GROUP BY dsp

@@ -181,3 +181,26 @@ def test_replace_by_key_is_idempotent(spark):
     once = replace_by_key(t, new, ["model"])
     twice = replace_by_key(once, new, ["model"])
     assert sorted(once.collect()) == sorted(twice.collect()) == [("EPSR", 0.1), ("Naive", 0.3)]
+
+
+def test_a_tiny_line_survives_the_money_sum(spark):
+    from fillwise.functions.money import money_sum
+    df = spark.createDataFrame([(1e-7,), (None,), (2.5,)], "x double")
+    assert df.where("x < 1").agg(money_sum("x")).collect()[0][0] == 1e-7
+    assert df.agg(money_sum("x")).collect()[0][0] == 2.5000001
+
+
+def test_sql_harmonization_keeps_null_keys_apart(spark):
+    from fillwise.operators.harmonize import harmonize, label_map_frame
+    from fillwise.plans.sql_harmonize import harmonize_sql
+    rev = spark.createDataFrame([("2024-01-01", None, "Brazil", "Spotify", 5.0), ("2024-01-01", "A", "Brazil", "Spotify", 0.0),
+                                 ("2024-01-01", "A", "Brazil", "x", None)],
+                                "month string, business_unit string, territory_name string, dsp string, total_gross_amount double")
+    plays = spark.createDataFrame([("2024-01-01", None, "Brazil", "Spotify", 10), ("2024-01-01", "A", "Brazil", "Spotify", 7),
+                                   ("2024-01-01", "A", "Peru", "Spotify", 3)],
+                                  "month string, business_unit string, country string, dsp string, total_streams long")
+    m = label_map_frame(spark)
+    key = lambda r: tuple(str(v) for v in r)
+    by_sql, by_plan = harmonize_sql(spark, rev, plays, m), harmonize(rev, plays, m)
+    got = sorted(map(key, by_sql.collect()))
+    assert got == sorted(map(key, by_plan.select(*by_sql.columns).collect())) and len(got) == 5

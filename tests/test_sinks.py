@@ -59,3 +59,15 @@ def test_deliverable_invariant_under_input_order(spark, tmp_path):
                       for r in df.collect())
     assert rows(a.final) == rows(b.final)
     assert rows(a.summary) == rows(b.summary)
+
+
+def test_bad_amounts_and_swapped_columns_stop_the_run(spark, tmp_path):
+    import pytest
+
+    from fillwise.sources.io import read_revenue_csv
+    head = "month,business_unit,territory_name,dsp,total_gross_amount\n"
+    (tmp_path / "bad.csv").write_text(head + "2024-01-01,A,Brazil,Spotify,12x\n")
+    (tmp_path / "swapped.csv").write_text("month,territory_name,business_unit,dsp,total_gross_amount\n2024-01-01,Brazil,A,Spotify,1\n")
+    for name in ("bad.csv", "swapped.csv"):
+        with pytest.raises(Exception):
+            read_revenue_csv(spark, str(tmp_path / name)).collect()
