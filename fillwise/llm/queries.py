@@ -127,6 +127,55 @@ FROM d2 JOIN h7 USING (idx, shard)
 """
 
 
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * suffix.LENGTH}) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {suffix.LENGTH - 1})) AS i FROM d WHERE doc_id IS NOT NULL)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+hit AS (SELECT DISTINCT doc_id, i FROM w JOIN f USING (s) WHERE first < doc_id),
+mark AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {suffix.LENGTH} THEN 0 ELSE 1 END AS opens FROM hit),
+run AS (SELECT doc_id, min(i) AS a, max(i) + {suffix.LENGTH} AS b
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM mark) GROUP BY doc_id, r),
+piece AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM run),
+cut AS (SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+               string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS front, max(b) AS last
+        FROM piece p JOIN d USING (doc_id) GROUP BY p.doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+OP5_SQL = f"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b
+         ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {embed_dedup.COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings m JOIN root r ON m.vec_id = r.a LEFT JOIN n ON m.vec_id = n.a
+"""
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '{mixing.WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {minhash.SHINGLE - 1}], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {minhash.SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                               GROUP BY ALL) p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id
+         WHERE 100 * c >= {minhash.PERCENT} * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN root ON d.doc_id = root.a LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -141,5 +190,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": OP2_SQL,
+    "op5_embedding_dedup": OP5_SQL,
     "op9_mix_sources": OP9_SQL,
+    "op10_minhash": OP10_SQL,
 }
