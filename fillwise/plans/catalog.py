@@ -393,6 +393,14 @@ def q_table_profile(ctx: Context) -> DataFrame:
     return prof.table_profile(ctx.panel(), "panel").unionByName(prof.table_profile(ctx.final(), "final_view"))
 
 
+@query("source_levels")
+def q_source_levels(ctx: Context) -> DataFrame:
+    """A23 of the two fact tables as they arrive."""
+    rev = prof.category_levels(ctx.facts()[0], ["business_unit", "territory_name", "dsp"])
+    plays = prof.category_levels(ctx.facts()[1], ["business_unit", "country", "dsp"])
+    return rev.withColumn("table_name", F.lit("revenue")).unionByName(plays.withColumn("table_name", F.lit("streams")))
+
+
 @query("category_levels")
 def q_category_levels(ctx: Context) -> DataFrame:
     return prof.category_levels(ctx.panel())
