@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session (Spark's ``addPyFile``),
+    so that they can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_fillwise_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="fillwise-code-"), "fillwise_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._fillwise_shipped = True
+
+
 def _run_folder(spark: SparkSession) -> str:
     """This run's folder under the checkpoint folder; Hadoop deletes it when the driver ends."""
     sc = spark.sparkContext
