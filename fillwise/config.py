@@ -112,6 +112,12 @@ class Params:
     n_repeats: int = 30
     seed: int = 42
     exclude_latest_months: int = 2
+    # promotion gate: what counts as similar, extreme and coherent (own choices, as the
+    # documented rule names no numbers)
+    gate_p90_tolerance: float = 0.05
+    gate_worst_tolerance: float = 0.50
+    gate_total_lo: float = 0.85
+    gate_total_hi: float = 1.15
 
 
 DEFAULT = Params()

@@ -178,19 +178,29 @@ def stress_rank(summary: DataFrame, reference: str = EPSR) -> DataFrame:
                       rank.alias("rank"))
 
 
-def promotion_gate(summary: DataFrame, reference: str = EPSR, p90_tolerance: float = 0.05,
-                   std_tolerance: float = 0.5) -> DataFrame:
-    """Promote a model when its mean WMAPE beats the reference, its p90 is
-    lower or within ``p90_tolerance`` (relative), and its spread is no more than
-    ``std_tolerance`` (relative) above the reference's."""
-    ref = summary.where(F.col("model") == reference).agg(
-        F.max("mean").alias("_rm"), F.max("p90").alias("_rp90"), F.max("std").alias("_rstd"))
-    out = attach_scalars(summary, ref)
+def promotion_gate(summary: DataFrame, preds: DataFrame, params: Params = DEFAULT,
+                   reference: str = EPSR) -> DataFrame:
+    """B3, the four documented conditions: the mean WMAPE beats the reference's; the p90 is
+    lower or similar; no month of any repeat fails in the tail (its WMAPE is a number, and the
+    worst one is no worse than the reference's worst beyond a tolerance); and the predictions
+    reconcile (every repeat's total is a number within the bounds of the actual total).
+    The documents leave "similar" and "extreme" open; their sizes are in ``Params``."""
+    ref = summary.where(F.col("model") == reference).agg(F.max("mean").alias("_rm"), F.max("p90").alias("_rp90"))
+    worst = preds.groupBy("model", REPEAT, MONTH).agg(
+        safe_div(money_sum(F.abs(F.col(TARGET) - F.col("pred"))), money_sum(F.abs(TARGET))).alias("_w"),
+        F.count_if(F.col("pred").isNull()).alias("_none"))
+    worst = worst.groupBy("model").agg(F.max("_w").alias("_worst"), F.sum("_none").alias("_none"))
+    ref_worst = worst.where(F.col("model") == reference).agg(F.max("_worst").alias("_rworst"))
+    totals = preds.groupBy("model", REPEAT).agg(safe_div(money_sum("pred"), money_sum(TARGET)).alias("_t"))
+    totals = totals.groupBy("model").agg(F.min("_t").alias("_low"), F.max("_t").alias("_high"))
+    out = attach_scalars(attach_scalars(summary, ref), ref_worst).join(worst, "model").join(totals, "model")
     beats = F.col("mean") < F.col("_rm")
-    p90_ok = F.col("p90") <= F.col("_rp90") * (1 + p90_tolerance)
-    stable = F.col("std") <= F.col("_rstd") * (1 + std_tolerance)
+    p90_ok = F.col("p90") <= F.col("_rp90") * (1 + params.gate_p90_tolerance)
+    stable = (F.col("_none") == 0) & (F.col("_worst") <= F.col("_rworst") * (1 + params.gate_worst_tolerance))
+    coherent = (F.col("_low") >= params.gate_total_lo) & (F.col("_high") <= params.gate_total_hi)
     return out.select("model", beats.alias("beats_mean"), p90_ok.alias("p90_ok"), stable.alias("stable"),
-                      (beats & p90_ok & stable & (F.col("model") != reference)).alias("promote"))
+                      coherent.alias("coherent"),
+                      (beats & p90_ok & stable & coherent & (F.col("model") != reference)).alias("promote"))
 
 
 def time_holdout(known_eval: DataFrame) -> tuple[DataFrame, DataFrame]:

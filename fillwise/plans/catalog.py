@@ -365,7 +365,7 @@ def q_stress_summary_all(ctx: Context) -> DataFrame:
 
 @query("promotion_gate")
 def q_promotion_gate(ctx: Context) -> DataFrame:
-    return bt.promotion_gate(_summary_table(ctx))
+    return bt.promotion_gate(_summary_table(ctx), ctx.predictions(), ctx.params)
 
 
 # ---------------------------------------------------------------------------
