@@ -98,4 +98,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(_run_folder(spark), uuid.uuid4().hex)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    if not hasattr(spark.sparkContext, "_fillwise_tables"):
+        spark.sparkContext._fillwise_tables = []
+    spark.sparkContext._fillwise_tables.append(path)
+    out = spark.read.parquet(path)
+    out._fillwise_path = path
+    return out
+
+
+def tables_made(spark: SparkSession) -> list[str]:
+    """Paths of the tables that ``cut_lineage`` wrote and ``discard`` has not deleted."""
+    return list(getattr(spark.sparkContext, "_fillwise_tables", []))
+
+
+def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete written tables that nothing reads any more (DataFrames of ``cut_lineage``, or paths)."""
+    for t in tables:
+        path = t if isinstance(t, str) else t._fillwise_path
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        if path in spark.sparkContext._fillwise_tables:
+            spark.sparkContext._fillwise_tables.remove(path)
