@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from fillwise.llm import textblocks
 from fillwise.llm.common import out_batches, small_side, stored
 from fillwise.llm.components import components
+from fillwise.session import discard
 
 SHINGLE = 4
 PERCENT = 80
@@ -234,9 +235,10 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
     return rows.join(wanted, F.col("_id") == F.col("_node"), "left_semi").mapInArrow(run, "node long, digest binary, hashes binary")
 
 
-def cross_links(buckets: DataFrame, labelled: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b): links between members of a bucket that are not yet in one component.
-    ``buckets``: (node, bucket) of shared buckets; ``labelled``: (node, component) of linked nodes.
+    ``buckets``: (node, bucket) of shared buckets; ``labelled``: (node, component) of linked
+    nodes; ``known``: (node, signature, hashes).
     The pairs stay in the task; a pair is looked at in the first band that it shares."""
     member = (buckets.join(labelled, "node", "left")
               .select("node", "bucket", F.coalesce("component", "node").alias("component")))
@@ -249,8 +251,6 @@ def cross_links(buckets: DataFrame, labelled: DataFrame, classes: DataFrame, set
     dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "node", "component", "bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") == F.least("part", "other")).alias("left"))
-    known = stored(classes.select("node", "digest", "signature").join(sets, ["node", "digest"]).drop("digest"))
-
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, HASHES)
         node, comp, left = (group[c].to_numpy() for c in ("node", "component", "left"))
@@ -298,7 +298,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     links = stored(verify(prune(stars, classes), sets))
     labelled = stored(components(links))
-    links = links.unionByName(stored(cross_links(shared.select("node", "bucket"), labelled, classes, sets)))
+    known = stored(classes.select("node", "digest", "signature").join(sets, ["node", "digest"]).drop("digest"))
+    discard(docs.sparkSession, classes, sets, met)
+    links = links.unionByName(stored(cross_links(shared.select("node", "bucket"), labelled, known)))
+    discard(docs.sparkSession, shared, known)
 
     # a document with several texts ties their classes together
     heads_of = rows.join(heads, "digest", "left").select("doc_id", "n", "node")
