@@ -142,8 +142,9 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     plain = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"),
                         F.col(vector).cast("array<float>").alias("v"))
     every = stored(plain.mapInArrow(read, "vec_id long, label string, digest binary, v binary"))
-    classes = every.where(F.col("digest").isNotNull()).groupBy("label", "digest").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    # written, so that the joins below shuffle plainly and a class of very many rows can be split
+    classes = stored(every.where(F.col("digest").isNotNull()).groupBy("label", "digest").agg(
+        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     heads = (every.join(classes, ["label", "digest"]).where(F.col("vec_id") == F.col("node"))
              .select("node", "label", "copies", "v", "digest").dropDuplicates(["node", "label", "digest"]))
     schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("v", pa.binary()), ("grp", pa.int64()), ("blk", pa.int32()), ("own", pa.bool_())])

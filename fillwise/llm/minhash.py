@@ -281,7 +281,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Per row: doc_id, n_shingles, component_id, kept."""
     rows = stored(sketch(docs, key, text))
     named = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    heads = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    # written, so that the joins below shuffle plainly and a class of very many rows can be split
+    heads = stored(named.groupBy("digest").agg(F.min("doc_id").alias("node")))
     classes = stored(named.join(heads, "digest").where(F.col("doc_id") == F.col("node"))
                      .select("node", "n", "digest", "signature").dropDuplicates(["node", "digest"]))
 
