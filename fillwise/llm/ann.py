@@ -163,7 +163,7 @@ def fit(rows: DataFrame, parts: int = PARTS, sample: int = SAMPLE, target: float
     chosen = rows.where(F.col("dim") == dim)
     # distinct vectors teach; at most a little over the bound are kept
     chosen = chosen.where(F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 24)) < int((1 << 24) * min(1.0, sample / n)))
-    raw = sorted({r["v"] for r in chosen.select("v").toLocalIterator()})
+    raw = sorted({r["v"] for r in chosen.select("v").collect()})
     x = matrix(raw, dim)
     while parts > 2 and len(x) < 16 * parts:
         parts //= 2
@@ -179,7 +179,7 @@ def fit(rows: DataFrame, parts: int = PARTS, sample: int = SAMPLE, target: float
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(near))], ["node", "near"])
 
     spark = rows.sparkSession
-    found = spark.range(len(x)).repartition(min(partitions(spark), 12)).mapInArrow(graph, "node long, near array<long>").toLocalIterator()
+    found = spark.range(len(x)).repartition(min(partitions(spark), 12)).mapInArrow(graph, "node long, near array<long>").collect()
     neighbours = np.empty((len(x), min(GRAPH_K, len(x) - 1)), np.int64)
     for r in found:
         neighbours[r["node"]] = r["near"]

@@ -43,7 +43,7 @@ POOLED = 2_000.0
 UNKNOWN = 1e-7
 #: Longer runs of letters are scored in pieces of this length.
 WORD_CHARS = 32
-WORDS_KEPT = 400_000
+WORDS_KEPT = 700_000
 UND = "und"
 START = "▁"
 WORD = re.compile(r"[^\W\d_]+")
@@ -218,7 +218,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
         total = np.zeros((v, k))
-        for r in counts.mapInArrow(expect, "sums binary").toLocalIterator():
+        for r in counts.mapInArrow(expect, "sums binary").collect():
             total += np.frombuffer(r["sums"]).reshape(v, k)
         pooled = total[:-1].sum(1) + 0.5
         pooled /= pooled.sum()

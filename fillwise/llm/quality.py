@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 total += np.concatenate([[len(stats)], stats.sum(0), (stats**2).sum(0)])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
-    total = sum((np.frombuffer(r["sums"]) for r in train.mapInArrow(moments, "sums binary").toLocalIterator()),
+    total = sum((np.frombuffer(r["sums"]) for r in train.mapInArrow(moments, "sums binary").collect()),
                 np.zeros(2 * N_STATS + 1))
     if total[0] == 0:
         return empty
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     shape = (FOLDS, FEATURES + 1, FEATURES + 2)
     sums = np.zeros(shape)
-    for r in train.mapInArrow(normal, "sums binary").toLocalIterator():
+    for r in train.mapInArrow(normal, "sums binary").collect():
         sums += np.frombuffer(r["sums"]).reshape(shape)
 
     def solve(s: np.ndarray) -> np.ndarray:
@@ -221,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(raw), pa.array(y)], ["raw", "y"])
 
     # at most about TRAIN_ROWS pairs of numbers
-    pairs = np.array([(r["raw"], r["y"]) for r in train.mapInArrow(unseen, "raw double, y double").toLocalIterator()])
+    pairs = np.array([(r["raw"], r["y"]) for r in train.mapInArrow(unseen, "raw double, y double").collect()])
     model.beta = solve(sums.sum(0))
     model.x, model.p = isotonic(pairs[:, 0], pairs[:, 1])
     return model
