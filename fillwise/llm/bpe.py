@@ -2,9 +2,9 @@
 
 A text is split by the tokenizer's pattern; every match is encoded by itself. The bytes
 of a piece are mapped to Latin-1 characters, and the vocabulary's Aho-Corasick trie gives
-the longest match at a position. The encoder takes the longest token there, keeps it when it is *compatible* with the token before it, and otherwise tries
-the next shorter one; a position from which no token works is marked dead and never
-visited again. Two adjacent tokens are compatible when no merge crosses their border, and
+the longest match at a position. The encoder takes the longest token there, keeps it when
+it is *compatible* with the token before it, and otherwise tries the next shorter one; a
+position from which no token works is marked dead and never visited again. Two adjacent tokens are compatible when no merge crosses their border, and
 a sequence whose neighbours are all compatible is exactly what the merges leave, so the
 result equals the merge loop's at a cost linear in the piece. Compatibility depends on the
 two tokens only and is memoised, as are whole pieces (bounded memos, which change no result).

@@ -30,11 +30,6 @@ def partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-def spread(df: DataFrame, *, least: int | None = None) -> DataFrame:
-    """Round-robin repartition, for compute-heavy steps over small inputs."""
-    return df.repartition(least or partitions(df.sparkSession))
-
-
 def bucket(text: Column | str, seed: str, n: int) -> Column:
     """Deterministic bucket 0..n-1 of a value; the same in any engine that has md5."""
     c = F.col(text) if isinstance(text, str) else text
