@@ -21,6 +21,9 @@ RECOMMENDED_CONF = {
 }
 
 
+ARROW_BYTES, ARROW_BYTES_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "fillwise",
                   extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
@@ -61,6 +64,9 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_fillwise_shipped", False):
         return
+    # Spark's own default lets a worker hold 64 MB of rows at once, and copies of them
+    if spark.conf.get(ARROW_BYTES) == ARROW_BYTES_DEFAULT:
+        spark.conf.set(ARROW_BYTES, "8m")
     top = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="fillwise-code-"), "fillwise_code.zip")
     with zipfile.ZipFile(path, "w") as z:

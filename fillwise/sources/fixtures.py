@@ -78,9 +78,10 @@ def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lines.withColumn("fam_no", fam_no).withColumn("cell", cell)
     rev_kept = (F.col("cell") % 11 != 0) & ~((F.col("mi") >= LAST_FULL_MONTH_INDEX) & (F.col("cell") % 5 != 0))
     streams_kept = F.col("cell") % 97 != 0
-    amount = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+    # prices and discounts have two decimals, so a line has four; rounding leaves no float noise
+    amount = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")), 4)
     reported = (F.when(F.col("cell") % 23 == 0, F.lit(0.0))
-                .when(F.col("cell") % 29 == 0, amount * F.lit(0.01))
+                .when(F.col("cell") % 29 == 0, F.round(amount * F.lit(0.01), 6))
                 .otherwise(amount))
     plays = (F.col("l_quantity") * 1000).cast("bigint")
     return (lines.groupBy("month", "business_unit", "country", "terr_no", "raw_dsp", "fam_no")
