@@ -264,7 +264,8 @@ def q_dsp_month_reliability(ctx: Context) -> DataFrame:
     return audit.dsp_month_reliability(ctx.final(), ctx.params)
 
 
-@query("dsp_month_rps_band", **RELIABILITY_DIGITS, rps_lower_90=R6, rps_upper_90=R6)
+# money per million plays is money: two decimals, as `rps` everywhere
+@query("dsp_month_rps_band", **RELIABILITY_DIGITS, rps_lower_90=M2, rps_upper_90=M2)
 def q_dsp_month_rps_band(ctx: Context) -> DataFrame:
     return audit.dsp_month_rps_band(ctx.final())
 
