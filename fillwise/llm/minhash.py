@@ -1,7 +1,7 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
-A document's set is its distinct shingles of ``SHINGLE`` words (A-Z lower-cased, words are
-runs of non-space bytes) as 64-bit hashes; a shorter text is one shingle. Equal sets form a
+A document's set is its distinct shingles of ``shingle`` words, ``SHINGLE`` unless the caller
+says otherwise (A-Z lower-cased, words are runs of non-space bytes), as 64-bit hashes; a shorter text is one shingle. Equal sets form a
 class, named by its smallest doc_id; only one row a class goes on. Signatures of ``BANDS`` x
 ``ROWS`` minima are banded; each class meets a few centres of its buckets.
 Candidate pairs compare their signatures batch by batch: after each batch the posterior
@@ -101,14 +101,14 @@ def signatures(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
+def sketch(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n, digest, signature) of every row; digest and signature null for an empty set."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in textblocks.blocks(batch.column(1)):
-                h, at = shingle_sets(b)
+                h, at = shingle_sets(b, shingle)
                 n = np.diff(at)
                 full = np.flatnonzero(n)
                 sig = signatures(h, np.append(at[full], at[-1])) if len(full) else np.zeros((0, HASHES), np.uint32)
@@ -213,7 +213,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """(node, digest, hashes) for the named documents: a second reading of their texts."""
     schema = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("hashes", pa.binary())])
 
@@ -222,7 +222,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 for b in textblocks.blocks(batch.column(1)):
-                    h, at = shingle_sets(b)
+                    h, at = shingle_sets(b, shingle)
                     for i in range(b.texts):
                         if at[i] < at[i + 1]:
                             hashes = h[at[i] : at[i + 1]].tobytes()
@@ -277,9 +277,9 @@ def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> Da
     return dealt.join(known, "node").groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    rows = stored(sketch(docs, key, text))
+    rows = stored(sketch(docs, key, text, shingle))
     named = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     # written, so that the joins below shuffle plainly and a class of very many rows can be split
     heads = stored(named.groupBy("digest").agg(F.min("doc_id").alias("node")))
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     met = stored(met.select("node", F.explode(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(c)) for i, c in enumerate(ORDERS)])).alias("centre")))
     stars = (met.where(F.col("node") != F.col("centre"))
              .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct())
-    sets = stored(full_sets(docs, met.select("node").distinct(), key, text))
+    sets = stored(full_sets(docs, met.select("node").distinct(), key, text, shingle))
 
     links = stored(verify(prune(stars, classes), sets))
     labelled = stored(components(links))

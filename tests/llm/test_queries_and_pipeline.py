@@ -56,3 +56,15 @@ def test_stages_take_an_empty_table(spark, stage):
     empty = spark.createDataFrame([], SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
     assert stage(spark, empty, SF).count() == 0
     assert documents()
+
+
+def test_near_duplicates_of_the_pipeline_take_five_words(spark):
+    def changed(n, at, name):
+        words = [f"{name}{i}" for i in range(n)]
+        return " ".join(words), " ".join(f"new{i}" if i in at else w for i, w in enumerate(words))
+
+    # four words: 69 of 85 shingles, five words: 66 of 86; and 106 of 126 by five words
+    texts = [*changed(80, (20, 50), "a"), *changed(120, (30, 70), "b")]
+    rows = [(i, t, "en", "x", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == [0, 1, 2]
