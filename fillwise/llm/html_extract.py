@@ -58,18 +58,27 @@ CLOSES = {k: frozenset(v.split()) for k, v in CLOSES.items()}
 HOLDERS = frozenset("article main section div table ul ol dl body nav aside footer header form td th tr blockquote".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 #: Elements and names of parts that are no main text wherever they stand.
-APART_TAGS = frozenset("footer aside form dialog button fieldset label".split())
+APART_TAGS = frozenset("footer aside dialog button label".split())
+#: Parts inside an article; elsewhere they may hold the whole page and say nothing.
+FORM_TAGS = frozenset("form fieldset".split())
 APART_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar
     footer cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe signup login
     share sharing social related recommended comment comments disqus reply replies respond form search widget copyright
     disclaimer contentinfo complementary""".split())
+#: Those that have articles of their own.
+OWN_ARTICLES = frozenset("comment comments disqus reply replies respond related recommended".split())
+#: In a name of several words: it tells what the page has, not what the element is.
+ABOUT = frozenset("has no not with without is hide show open opened closed enabled disabled category tag status".split())
+#: Elements that are not a part of the page by their name.
+WHOLE_TAGS = frozenset("html body main".split())
 #: The same, but an article inside them still is one.
 MENU_TAGS = frozenset("nav menu".split())
 MENU_NAMES = frozenset("nav navbar navigation menu breadcrumb breadcrumbs toolbar pagination pager".split())
 HEAD_NAMES = frozenset("header masthead".split())
 CONTENT_NAMES = frozenset("article content main post entry story".split())
 
-APART, MENU, PLAIN, CONTENT = -2, -1, 0, 1
+#: LOOSE: apart by a name outside of content; HELD: an article inside such an element.
+APART, LOOSE, MENU, PLAIN, CONTENT, HELD = -3, -2, -1, 0, 1, 2
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 FEATURES = ["bias", "content", "boilerplate", "length", "links", "stops", "heading", "item", "paragraph"]
@@ -85,6 +94,7 @@ class Block:
     sign: int
     tag: str
     link_chars: int = 0
+    mark: int = 0  # the outermost LOOSE element around it
 
 
 @dataclass
@@ -93,29 +103,66 @@ class Element:
     number: int
     sign: int
     path: tuple[int, ...] = field(default=())
+    mark: int = 0
+
+
+def names_of(tag: str, attributes: str) -> set[str]:
+    """Words of the class, id and role that tell what the element is."""
+    names: set[str] = set()
+    if "=" in attributes and tag not in WHOLE_TAGS:
+        for _, a, b, c in ATTRIBUTE.findall(attributes):
+            for name in (a or b or c).lower().split():
+                words = TOKEN.findall(name)
+                # an article carries the names of its categories and settings
+                if len(words) == 1 or tag != "article" and ABOUT.isdisjoint(words):
+                    names.update(words)
+    return names - {tag}
 
 
 def sign_of(tag: str, attributes: str, around: int) -> int:
     """What an element says about its text, given what the elements around it say."""
-    if around == APART:
+    if around == APART or tag in APART_TAGS:
         return APART
-    if tag in APART_TAGS:
+    inside = around in (CONTENT, HELD)
+    if tag in FORM_TAGS and inside:
         return APART
-    names: set[str] = set()
-    if "=" in attributes:
-        for _, a, b, c in ATTRIBUTE.findall(attributes):
-            names.update(TOKEN.findall((a or b or c).lower()))
-    if names & APART_NAMES:
+    names = names_of(tag, attributes)
+    if names & OWN_ARTICLES:
         return APART
+    if names & APART_NAMES:
+        return APART if inside else LOOSE
+    if around == LOOSE:
+        return {"main": CONTENT, "article": HELD}.get(tag, LOOSE)
     if tag in MENU_TAGS or names & MENU_NAMES:
         return MENU
-    if (tag == "header" or names & HEAD_NAMES) and around != CONTENT:
+    if (tag == "header" or names & HEAD_NAMES) and not inside:
         return MENU
-    if tag in CONTENT_TAGS or names & CONTENT_NAMES and tag != "body":
+    if around != HELD and (tag in CONTENT_TAGS or names & CONTENT_NAMES):
         return CONTENT
     return around
 
 
+def settled(blocks: list[Block]) -> list[Block]:
+    """The signs once the whole page is known. Where nothing else is content, an article in a
+    LOOSE element is, or else a LOOSE element with most of the text says nothing."""
+    if any(b.sign == CONTENT for b in blocks):
+        held = LOOSE
+    else:
+        held = CONTENT
+        if not any(b.sign == HELD for b in blocks):
+            size: dict[int, int] = {}
+            for b in blocks:
+                size[b.mark] = size.get(b.mark, 0) + len(b.text)
+            whole = sum(size.values())
+            for b in blocks:
+                if b.sign == LOOSE and 2 * size[b.mark] > whole:
+                    b.sign = PLAIN
+    for b in blocks:
+        if b.sign == HELD:
+            b.sign = held
+    return blocks
+
+
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     root = Element("", 0, PLAIN)
@@ -133,7 +180,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(text.split())
             if text:
                 top = stack[-1]
-                out.append(Block(text, top.path, top.sign, top.tag, min(link_chars, len(text))))
+                out.append(Block(text, top.path, top.sign, top.tag, min(link_chars, len(text)), top.mark))
             parts.clear()
         link_chars = 0
 
@@ -195,22 +242,24 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/") and tag not in HOLDERS:
             continue
         numbers += 1
-        stack.append(Element(tag, numbers, sign, (*stack[-1].path, numbers)))
+        mark = stack[-1].mark or (numbers if sign == LOOSE else 0)
+        stack.append(Element(tag, numbers, sign, (*stack[-1].path, numbers), mark))
     flush()
-    return out
+    return settled(out)
 
 
 def measured(blocks: list[Block], hide: bool = False) -> np.ndarray:
-    """Features of blocks. The shape of a block speaks only where no element does: menus and
-    comments have paragraphs too. ``hide`` leaves out every other block's evidence."""
+    """Features of blocks. What an element says is evidence beside length, links and stops;
+    the tag speaks only where no element does: menus and comments have paragraphs too.
+    ``hide`` leaves out every other block's evidence."""
     x = np.zeros((len(blocks), len(FEATURES)))
     for i, b in enumerate(blocks):
+        n = len(b.text)
+        x[i, 0], x[i, 3:6] = 1, (math.log1p(n) - 4, b.link_chars / n, b.text[-1] in ".!?:;\"'”»…")
         if b.sign != PLAIN and not (hide and i % 2):
-            x[i, :3] = 1, b.sign == CONTENT, b.sign < 0
+            x[i, 1:3] = b.sign == CONTENT, b.sign < 0
         else:
-            n = len(b.text)
-            x[i] = (1, 0, 0, math.log1p(n) - 4, b.link_chars / n, b.text[-1] in ".!?:;\"'”»…",
-                    b.tag in HEADINGS, b.tag == "li", b.tag == "p")
+            x[i, 6:] = b.tag in HEADINGS, b.tag == "li", b.tag == "p"
     return x
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -159,6 +160,32 @@ def test_main_text_of_pages(spark):
     assert html_extract.extracted(df.limit(0), html_extract.PRIOR).count() == 0
 
 
+STORY = "".join(f"<p>Sentence {i} of the story is long enough to be read, and it ends with a stop.</p>" for i in range(6))
+
+
+@pytest.mark.parametrize("wrap", [
+    '<body class="has-sidebar"><article>{}</article></body>', '<body class="comments"><main>{}</main></body>',
+    '<div class="content no-sidebar">{}</div>', '<article class="post comments-open category-social">{}</article>',
+    '<form id="form1" class="page"><div id="content">{}</div></form>', '<form id="form1"><div>{}</div></form>',
+    '<div class="sidebar"><article>{}</article></div>', '<div class="widget"><div>{}</div></div>'])
+def test_names_around_a_page_do_not_hide_it(wrap):
+    page = f'<nav><a href=x>Home</a></nav>{wrap.format(STORY)}<div class="comments"><article><p>A comment.</p></article></div>'
+    for weights in (html_extract.PRIOR, html_extract.PRIOR + np.eye(9)[2] * -3):
+        assert html_extract.main_text(page, weights) == "\n".join(re.findall("<p>(.*?)</p>", STORY))
+
+
+def test_a_long_text_can_outvote_its_name():
+    block = html_extract.Block("word " * 400 + "end.", (1,), html_extract.LOOSE, "p")
+    short = html_extract.Block("Buy now", (1,), html_extract.LOOSE, "p")
+    cost = html_extract.measured([block, short]) @ html_extract.PRIOR
+    assert cost[0] > cost[1] + 2
+
+
+def test_articles_beside_the_article_stay_apart():
+    page = f'<article>{STORY}</article><div class="sidebar"><article><p>Another story, in short.</p></article></div>'
+    assert html_extract.main_text(page, html_extract.PRIOR) == "\n".join(re.findall("<p>(.*?)</p>", STORY))
+
+
 def test_cut_is_minimal():
     rnd = random.Random(5)
     for _ in range(200):
