@@ -12,7 +12,8 @@ batches and verified on their sets, so no link is left to the choice of centres.
 never leave the task: it has the members' signatures and sets, and returns links only.
 
 Work per hot bucket: the centres take a min-aggregation and a join that Spark may split; the
-members are dealt in blocks (bucket, part, part).
+members are dealt in blocks (bucket, part, part), whose parts are bounded by members and by
+shingles. A set is stored once a node, however many rows repeat the doc_id and its text.
 
 Rows: null or empty texts have an empty set, size 0, and link with nothing. A null doc_id
 takes no part (its component is null, it is kept). Rows that repeat a doc_id are one
@@ -48,6 +49,10 @@ MISS = 1e-5
 ORDERS = (0, -1, 0x5A5A5A5A5A5A5A5A, 0x3C3C3C3C3C3C3C3C)
 #: Members of a bucket in one part of the all-with-all comparison.
 PART = 1000
+#: The same by shingles: parts get smaller where the texts are long.
+PART_SHINGLES = 4_000_000
+#: Sets that a task of the second reading remembers, to leave out copies.
+SEEN = 100_000
 #: Rows of candidate ids that may be broadcast to filter the second reading of the texts.
 NEEDED_ROWS = 300_000
 
@@ -219,6 +224,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, shingle: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
+            seen: set[tuple[int, bytes]] = set()
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 for b in textblocks.blocks(batch.column(1)):
@@ -226,7 +232,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, shingle: i
                     for i in range(b.texts):
                         if at[i] < at[i + 1]:
                             hashes = h[at[i] : at[i + 1]].tobytes()
-                            yield ids[b.first + i], xxhash.xxh3_128_digest(hashes), hashes
+                            found = ids[b.first + i], xxhash.xxh3_128_digest(hashes)
+                            if found not in seen:
+                                yield *found, hashes
+                                if len(seen) < SEEN:
+                                    seen.add(found)
 
         yield from out_batches(rows(), schema)
 
@@ -235,22 +245,37 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, shingle: i
     return rows.join(wanted, F.col("_id") == F.col("_node"), "left_semi").mapInArrow(run, "node long, digest binary, hashes binary")
 
 
-def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): links between members of a bucket that are not yet in one component.
-    ``buckets``: (node, bucket) of shared buckets; ``labelled``: (node, component) of linked
-    nodes; ``known``: (node, signature, hashes).
-    The pairs stay in the task; a pair is looked at in the first band that it shares."""
-    member = (buckets.join(labelled, "node", "left")
-              .select("node", "bucket", F.coalesce("component", "node").alias("component")))
-    split = member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+def unique_sets(docs: DataFrame, nodes: DataFrame, repeated: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """``full_sets`` with one row per (node, digest). ``repeated``: the nodes that have a set on
+    several rows; only theirs are shuffled to leave out the copies."""
+    if not repeated.limit(1).count():
+        return full_sets(docs, nodes, key, text, shingle)
+    once = full_sets(docs, nodes.join(repeated, "node", "left_anti"), key, text, shingle)
+    more = full_sets(docs, nodes.join(repeated, "node", "left_semi"), key, text, shingle)
+    return once.unionByName(more.dropDuplicates(["node", "digest"]))
+
+
+def dealt_members(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, component, bucket, p, q, left): the members of open buckets in the blocks that they take part in."""
+    sizes = known.groupBy("node").agg(F.sum("n").alias("n"))
+    member = (buckets.join(sizes.join(labelled, "node", "left"), "node")
+              .select("node", "bucket", "n", F.coalesce("component", "node").alias("component")))
+    split = member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("n"),
                                          F.count(F.lit(1)).alias("size")).where(F.col("lo") < F.col("hi"))
-    parts = F.ceil(F.col("size") / PART).cast("int")
+    parts = F.greatest(F.ceil(F.col("size") / PART), F.ceil(F.col("n") / PART_SHINGLES)).cast("int")
     open_ = (member.join(split.select("bucket", parts.alias("parts")), "bucket")
              .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     # each member goes to the blocks (p, q), p <= q, of which its part is one
-    dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+    return open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "node", "component", "bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") == F.least("part", "other")).alias("left"))
+
+
+def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): links between members of a bucket that are not yet in one component.
+    ``buckets``: (node, bucket) of shared buckets; ``labelled``: (node, component) of linked
+    nodes; ``known``: (node, n, signature, hashes).
+    The pairs stay in the task; a pair is looked at in the first band that it shares."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, HASHES)
         node, comp, left = (group[c].to_numpy() for c in ("node", "component", "left"))
@@ -274,7 +299,8 @@ def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> Da
                     out.append((max(node[i], node[k]), min(node[i], node[k])))
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.join(known, "node").groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long")
+    dealt = dealt_members(buckets, labelled, known)
+    return dealt.join(known.drop("n"), "node").groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -284,7 +310,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # written, so that the joins below shuffle plainly and a class of very many rows can be split
     heads = stored(named.groupBy("digest").agg(F.min("doc_id").alias("node")))
     classes = stored(named.join(heads, "digest").where(F.col("doc_id") == F.col("node"))
-                     .select("node", "n", "digest", "signature").dropDuplicates(["node", "digest"]))
+                     .groupBy("node", "digest").agg(F.first("n").alias("n"), F.first("signature").alias("signature"),
+                                                    F.count(F.lit(1)).alias("copies")))
 
     bands = banded(classes)
     # a node meets one centre of its buckets in each of a few orders (node ^ c, ascending)
@@ -295,11 +322,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     met = stored(met.select("node", F.explode(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(c)) for i, c in enumerate(ORDERS)])).alias("centre")))
     stars = (met.where(F.col("node") != F.col("centre"))
              .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct())
-    sets = stored(full_sets(docs, met.select("node").distinct(), key, text, shingle))
+    repeated = classes.where(F.col("copies") > 1).select("node").distinct()
+    sets = stored(unique_sets(docs, met.select("node").distinct(), repeated, key, text, shingle))
 
     links = stored(verify(prune(stars, classes), sets))
     labelled = stored(components(links))
-    known = stored(classes.select("node", "digest", "signature").join(sets, ["node", "digest"]).drop("digest"))
+    known = stored(classes.select("node", "digest", "n", "signature").join(sets, ["node", "digest"]).drop("digest"))
     discard(docs.sparkSession, classes, sets, met)
     links = links.unionByName(stored(cross_links(shared.select("node", "bucket"), labelled, known)))
     discard(docs.sparkSession, shared, known)

@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 from fixtures import documents, empty, frame, prose
+from pyspark.sql import functions as F
 
 from fillwise.llm import bpe, langid, minhash, mixing, quality, suffix
 
@@ -142,6 +143,30 @@ def test_minhash_with_a_large_group_of_copies(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute_near(docs)
 
 
+def test_minhash_holds_the_set_of_a_repeated_row_once(spark, monkeypatch):
+    held = []
+
+    def cross_links(buckets, labelled, known, work=minhash.cross_links):
+        held.extend((r.node, bytes(r.hashes)) for r in known.collect())
+        return work(buckets, labelled, known)
+
+    monkeypatch.setattr(minhash, "cross_links", cross_links)
+    words = prose(21, 90).split(" ")
+    near = " ".join([*words[:40], "changed", *words[41:]])
+    docs = [*[(1, " ".join(words))] * 60, (2, near), (1, near.upper()), *[(3, prose(23, 40))] * 3, (4, prose(24, 40))]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(6))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute_near(docs)
+    assert {i for i, _ in held} == {1} and len(held) == len(set(held)) == 2
+
+
+def test_parts_of_a_bucket_follow_the_length_of_its_texts(spark):
+    known = spark.createDataFrame([(i, minhash.PART_SHINGLES // 20) for i in range(200)], "node long, n long")
+    buckets = known.select("node", F.lit(7).cast("long").alias("bucket"))
+    dealt = minhash.dealt_members(buckets, spark.createDataFrame([], "node long, component long"), known)
+    blocks = dealt.join(known, "node").groupBy("p", "q").agg(F.sum("n").alias("n")).collect()
+    assert len(blocks) == 55 and max(r.n for r in blocks) < 4 * minhash.PART_SHINGLES
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     for upto, least in minhash.BATCHES:
         assert 0 < least < 0.8 * upto
