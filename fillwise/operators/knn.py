@@ -128,7 +128,6 @@ def fit_predict_knn(train: DataFrame, score: DataFrame, k: int = 21, out: str =
     size, radius = np.zeros(len(pivots), np.int64), np.zeros(len(pivots))
     for r in points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("r")).collect():
         size[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
-    apart = _distances(pivots, pivots)
     points = points.drop("far")
 
     def first_cells(d: np.ndarray) -> np.ndarray:
@@ -145,7 +144,9 @@ def fit_predict_knn(train: DataFrame, score: DataFrame, k: int = 21, out: str =
                     cells = first_cells(d)
                     if theta:
                         o = int(d.argmin())
-                        split = np.where(apart[o] > 0, (d**2 - d[o] ** 2) / np.where(apart[o] > 0, 2 * apart[o], 1), 0.0)
+                        # of the one pivot only: all pairs of pivots would be as many as the train rows
+                        apart = np.sqrt(((pivots - pivots[o]) ** 2).sum(1))
+                        split = np.where(apart > 0, (d**2 - d[o] ** 2) / np.where(apart > 0, 2 * apart, 1), 0.0)
                         bound = np.maximum(d - radius, split)
                         limit = batch.column(2)[i].as_py()
                         # a hair of slack, so that rounding never leaves a cell out

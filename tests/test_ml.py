@@ -103,3 +103,19 @@ def test_knn_is_exact_against_brute_force(spark):
         dk = d[idx]
         want = y[idx][dk == 0].mean() if (dk == 0).any() else (y[idx] / dk).sum() / (1 / dk).sum()
         assert got[tuple(r[:4])] == pytest.approx(max(want, 0.0), rel=1e-9, abs=1e-6)
+
+
+def test_knn_tasks_hold_no_pairs_of_pivots(spark, monkeypatch):
+    from fillwise.operators.knn import fit_predict_knn
+    from fillwise.plans.catalog import _holdout
+    from fillwise.plans.context import context
+    frame, shapes = type(spark.range(0)), []
+
+    def map_in_arrow(self, func, *a, work=frame.mapInArrow, **b):
+        shapes.extend(c.cell_contents.shape for c in func.__closure__ or () if isinstance(c.cell_contents, np.ndarray))
+        return work(self, func, *a, **b)
+
+    monkeypatch.setattr(frame, "mapInArrow", map_in_arrow)
+    fit_predict_knn(*_holdout(context(spark, "/root/testdata/sf0.001")))
+    assert max(len(s) for s in shapes) == 2
+    assert not [s for s in shapes if len(s) == 2 and s[0] == s[1]]
