@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import ann, bpe, embed_dedup, html_extract, langid, minhash, mixing, quality, quotes, suffix
+from fillwise.llm import ann, bpe, embed_dedup, html_extract, langid, minhash, mixing, quality, queries_structure, quotes, suffix
 from fillwise.llm.common import table
 
 
@@ -187,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_minhash": op10_minhash,
+    **queries_structure.QUERIES,
 }
 
 ORACLES: dict[str, str] = {
@@ -194,4 +195,5 @@ ORACLES: dict[str, str] = {
     "op5_embedding_dedup": OP5_SQL,
     "op9_mix_sources": OP9_SQL,
     "op10_minhash": OP10_SQL,
+    **queries_structure.ORACLES,
 }
