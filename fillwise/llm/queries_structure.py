@@ -8,7 +8,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import turn_repair
+from fillwise.llm import collocations, turn_repair
 from fillwise.llm.common import table
 
 NO_BYTES = hashlib.sha256().hexdigest()
@@ -39,6 +39,11 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("sha256", F.lit(NO_BYTES)).alias("repaired_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two or three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _crc32(text: str) -> str:
     """SQL: crc32 of an ASCII string, bit by bit."""
     bits = "list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte))"
@@ -106,5 +111,34 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS
 LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = n.n
 """
 
-QUERIES = {"op11_turn_repair": op11_turn_repair}
-ORACLES: dict[str, str] = {"op11_turn_repair": OP11_SQL}
+# a phrase is its words joined by one space, which no word holds
+OP12_SQL = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+t AS (SELECT lang, unnest(w) AS a, unnest(w[2 :]) AS b, unnest(w[3 :]) AS c FROM w),
+f1 AS (SELECT lang, a, count(*) AS f FROM t GROUP BY lang, a),
+f2 AS (SELECT lang, a, b, count(*) AS f FROM t WHERE b IS NOT NULL GROUP BY lang, a, b HAVING count(*) >= {collocations.MIN_COUNT}),
+f3 AS (SELECT lang, a, b, c, count(*) AS f FROM t WHERE c IS NOT NULL GROUP BY lang, a, b, c HAVING count(*) >= {collocations.MIN_COUNT}),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+o AS (SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY lang, a, b),
+s AS (SELECT p.lang, p.a || ' ' || p.b AS phrase, p.f AS a, x.f AS l, y.f AS r, 1 AS k
+      FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f1 y ON y.lang = p.lang AND y.a = p.b
+      LEFT JOIN o ON o.lang = p.lang AND o.a = p.a AND o.b = p.b
+      WHERE o.f IS NULL OR 100 * o.f < {collocations.INSIDE} * p.f
+      UNION ALL
+      SELECT p.lang, p.a || ' ' || p.b || ' ' || p.c, p.f, x.f, y.f, 1
+      FROM f3 p JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f2 y ON y.lang = p.lang AND y.a = p.b AND y.b = p.c
+      UNION ALL
+      SELECT p.lang, p.a || ' ' || p.b || ' ' || p.c, p.f, x.f, y.f, 2
+      FROM f3 p JOIN f2 x ON x.lang = p.lang AND x.a = p.a AND x.b = p.b JOIN f1 y ON y.lang = p.lang AND y.a = p.c),
+z AS (SELECT *, ({collocations.SCALE}::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM s),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM z) WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b) JOIN n USING (lang)
+WHERE rank <= {collocations.TOP}
+"""
+
+QUERIES = {"op11_turn_repair": op11_turn_repair, "op12_collocations": op12_collocations}
+ORACLES: dict[str, str] = {"op11_turn_repair": OP11_SQL, "op12_collocations": OP12_SQL}
