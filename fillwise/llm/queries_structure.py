@@ -8,7 +8,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwise.llm import collocations, turn_repair
+from fillwise.llm import collocations, robust_outliers, turn_repair
 from fillwise.llm.common import table
 
 NO_BYTES = hashlib.sha256().hexdigest()
@@ -44,6 +44,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return robust_outliers.judged(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def _crc32(text: str) -> str:
     """SQL: crc32 of an ASCII string, bit by bit."""
     bits = "list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte))"
@@ -140,5 +148,6 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
 WHERE rank <= {collocations.TOP}
 """
 
-QUERIES = {"op11_turn_repair": op11_turn_repair, "op12_collocations": op12_collocations}
+QUERIES = {"op11_turn_repair": op11_turn_repair, "op12_collocations": op12_collocations,
+           "op13_robust_outliers": op13_robust_outliers}
 ORACLES: dict[str, str] = {"op11_turn_repair": OP11_SQL, "op12_collocations": OP12_SQL}
