@@ -47,11 +47,11 @@ BITS = 1 << 27
 #: Cells of a tile that is counted as a dense array.
 DENSE = 1 << 20
 #: Pairs that a task gathers before it counts them.
-GATHER = 1 << 22
-#: Distinct words that a task gathers before it hands them on.
-WORDS_HELD = 400_000
+GATHER = 1 << 20
+#: Words of blocks that a task gathers before it puts them together.
+WORDS_HELD = 500_000
 #: Pairs that share a bucket of coordinates, about.
-BUCKET = 1 << 21
+BUCKET = 1 << 20
 #: Parts of a dense tile that are added at once.
 FAN = 64
 
@@ -120,28 +120,39 @@ _COUNTED = pa.schema([("lang", pa.string()), ("word", pa.string()), ("code", pa.
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, int], list] = {}
+    """The words of the blocks with their counts, those of several blocks put together."""
+    held: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
+    size = 0
 
-    def rows() -> Iterator[tuple]:
-        for (lang, code), (word, n) in held.items():
-            yield lang, word, code, n
-        held.clear()
+    def merged() -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+        code, first, back = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+        n = np.bincount(back, np.concatenate([h[1] for h in held]), len(code)).astype(I64)
+        return code, n, *(pa.concat_arrays([h[i] for h in held]).take(pa.array(first)) for i in (2, 3))
 
     for batch in batches:
         names, at, h = _languages(batch.column(1))
         for b in textblocks.blocks(batch.column(0)):
             w = words(b, h[b.first : b.first + b.texts])
             code, first, n = np.unique(w.code, return_index=True, return_counts=True)
-            lang = at[b.first : b.first + b.texts][w.text[first]]
-            raw = w.data.tobytes()
-            for c, s, e, k, m in zip(code.tolist(), w.start[first].tolist(), w.end[first].tolist(), lang.tolist(), n.tolist()):
-                if (entry := held.get((names[k], c))) is not None:
-                    entry[1] += m
-                else:
-                    held[names[k], c] = [raw[s:e].decode(), m]
-            if len(held) > WORDS_HELD:
-                yield from out_batches(rows(), _COUNTED)
-    yield from out_batches(rows(), _COUNTED)
+            start, length = w.start[first], w.end[first] - w.start[first]
+            ends = np.concatenate([[0], np.cumsum(length)])
+            spelt = w.data[np.repeat(start - ends[:-1], length) + np.arange(ends[-1])]
+            word = pa.LargeStringArray.from_buffers(len(code), pa.py_buffer(ends.astype(I64)), pa.py_buffer(spelt)).cast(pa.string())
+            lang = pa.array(names, pa.string()).take(pa.array(at[b.first : b.first + b.texts][w.text[first]]))
+            held.append((code, n, word, lang))
+            size += len(code)
+            if size > WORDS_HELD:
+                held = [merged()]
+                size = len(held[0][0])
+                if 2 * size > WORDS_HELD:
+                    yield _word_batch(*held[0])
+                    held, size = [], 0
+    if held:
+        yield _word_batch(*merged())
+
+
+def _word_batch(code: np.ndarray, n: np.ndarray, word: pa.Array, lang: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([lang, word, pa.array(code), pa.array(n)], schema=_COUNTED)
 
 
 # --- ids
@@ -308,7 +319,7 @@ def _packed(kind: int, slot: np.ndarray, part: int, keys: list[np.ndarray], n: n
     edges = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1], [True]])) if len(slot) else np.zeros(1, I64)
     for a, b in zip(edges, edges[1:]):
         right = keys[1][a:b].tobytes() if len(keys) > 1 else b""
-        yield kind, int(slot[a]), part, keys[0][a:b].tobytes(), right, n[a:b].tobytes()
+        yield kind, int(slot[a]), part, keys[0][a:b].tobytes(), right, n[a:b].astype(np.int32).tobytes()
 
 
 def _counted(left: np.ndarray, right: np.ndarray, left_ids: Ids, right_ids: Ids, buckets: int, part: int) -> Iterator[tuple]:
@@ -453,7 +464,7 @@ def _level(coded: DataFrame, levels: list, buckets: int, least: int) -> DataFram
 
         def done(kind: int) -> pa.RecordBatch:
             keys = [np.concatenate([np.frombuffer(h[i], I64) for h in held]) for i in range(2 if kind == HASHED else 1)]
-            keys, n = _grouped(tuple(keys), np.concatenate([np.frombuffer(h[2], I64) for h in held]))
+            keys, n = _grouped(tuple(keys), np.concatenate([np.frombuffer(h[2], np.int32) for h in held]).astype(I64))
             held.clear()
             keys, n = [k[n >= least] for k in keys], n[n >= least]
             pair = keys if kind == HASHED else located(keys[0], levels[-1].value, levels[0].value)
