@@ -13,8 +13,8 @@ popular one meets in one task; each pair of chunks returns at most k rows a quer
 
 Rows: vectors that are null, empty or zero or hold null or non-finite components take no
 part, nor do null ids; a vector's length must be the table's most frequent one. Equal
-distances go to the smaller id; repeated ids are rows of their own, except that a query's own
-id is never its answer. Without usable vectors the result is empty. Other columns are not read.
+distances go to the smaller id. Repeated rows count once; an id with several vectors is as near
+as the nearest of them, also where it asks, and is never its own answer. Without usable vectors the result is empty. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillwise.llm.common import out_batches, partitions, stored
+from fillwise.llm.common import out_batches, partitions, ship, stored
 from fillwise.llm.vectors import matrix, usable
 
 K = 10
@@ -161,8 +161,8 @@ def fit(rows: DataFrame, parts: int = PARTS, sample: int = SAMPLE, target: float
         return None
     dim, n = sizes[0]["dim"], sizes[0]["count"]
     chosen = rows.where(F.col("dim") == dim)
-    # distinct vectors teach; at most a little over the bound are kept
-    chosen = chosen.where(F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 24)) < int((1 << 24) * min(1.0, sample / n)))
+    # distinct vectors teach; an expected ``sample`` of them, by a hash of id and vector
+    chosen = chosen.where(F.pmod(F.xxhash64("vec_id", "v", F.lit(9)), F.lit(1 << 24)) < int((1 << 24) * min(1.0, sample / n)))
     raw = sorted({r["v"] for r in chosen.select("v").collect()})
     x = matrix(raw, dim)
     while parts > 2 and len(x) < 16 * parts:
@@ -203,6 +203,7 @@ def fit(rows: DataFrame, parts: int = PARTS, sample: int = SAMPLE, target: float
 
 def routed(rows: DataFrame, index: Index, probes: int) -> DataFrame:
     """(vec_id, v, part) for the ``probes`` most probable parts of each vector."""
+    ship(rows.sparkSession)
     schema = pa.schema([("vec_id", pa.int64()), ("v", pa.binary()), ("part", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +225,9 @@ def search(rows: DataFrame, queries: Column, k: int = K, key: str = "vec_id", ve
            index: Index | None = None) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for the rows that ``queries``
     (a condition on vec_id) picks."""
-    vectors = stored(read(rows, key, vector))
+    ship(rows.sparkSession)
+    # a repeated row counts once, as a query and as a candidate
+    vectors = stored(read(rows, key, vector).dropDuplicates(["vec_id", "v"]))
     index = index or fit(vectors)
     if index is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -245,26 +248,33 @@ def search(rows: DataFrame, queries: Column, k: int = K, key: str = "vec_id", ve
     def rank(b: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(b) and len(q):
+            b = b.sort_values("vec_id", kind="stable")
             ids, x = b["vec_id"].to_numpy(), matrix(b["v"].tolist(), dim)
+            heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            bounds = np.append(heads, len(ids))
             square = (x**2).sum(1)
             qx = matrix(q["v"].tolist(), dim)
             for i in range(0, len(q), 128):
                 near = square[None, :] - 2 * qx[i : i + 128] @ x.T
                 own = q["vec_id"].to_numpy()[i : i + 128]
                 near[own[:, None] == ids[None, :]] = np.inf
-                kth = np.partition(near, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+                if len(heads) < len(ids):  # an id with several vectors is as near as its nearest
+                    near = np.minimum.reduceat(near, heads, axis=1)
+                kth = np.partition(near, min(k, len(heads)) - 1, axis=1)[:, min(k, len(heads)) - 1]
                 for j in range(len(near)):
                     slack = 1e-9 * (1 + (qx[i + j] ** 2).sum() + abs(kth[j])) if np.isfinite(kth[j]) else 0.0
                     at = np.flatnonzero((near[j] <= kth[j] + slack) & np.isfinite(near[j]))
-                    score = np.sqrt(((x[at] - qx[i + j]) ** 2).sum(1))
-                    best = np.lexsort((ids[at], score))[:k]
-                    out.append((np.full(len(best), own[j]), ids[at][best], score[best]))
+                    score = np.array([np.sqrt(((x[bounds[a] : bounds[a + 1]] - qx[i + j]) ** 2).sum(1)).min() for a in at])
+                    best = np.lexsort((ids[heads[at]], score))[:k]
+                    out.append((np.full(len(best), own[j]), ids[heads[at]][best], score[best]))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
 
     keys = ["part", "base", "asker"]
     found = (dealt(base, "base", "asker").groupBy(keys).cogroup(dealt(asked, "asker", "base").groupBy(keys))
              .applyInPandas(rank, "query_id long, vec_id long, score double"))
+    # an id with several vectors asks with each of them and takes the nearest found by any
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

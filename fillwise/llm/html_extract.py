@@ -25,9 +25,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ SMOOTH = 1.0
 FALL = 0.5
 COST_MOST = 8.0
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+UNQUOTED = re.compile(r"""[^>"']*""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -87,23 +89,86 @@ PRIOR = np.array([-1.0, 4.0, -5.0, 0.5, -3.0, 1.0, 0.5, -0.5, 0.5])
 PRIOR_WEIGHT = 2.0
 
 
+@dataclass(eq=False)
+class Element:
+    tag: str
+    number: int
+    sign: int
+    parent: Element | None = None
+    depth: int = 0
+    holder: int = 0  # place on the stack of the nearest element, itself included, that holds others
+    mark: int = 0
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]  # the elements around it, by number
+    at: Element  # the element around it
     sign: int
     tag: str
     link_chars: int = 0
     mark: int = 0  # the outermost LOOSE element around it
 
 
-@dataclass
-class Element:
-    tag: str
-    number: int
-    sign: int
-    path: tuple[int, ...] = field(default=())
-    mark: int = 0
+class Tags:
+    """Finds the tags of a page in time that grows with its length, however broken they are.
+
+    A tag whose end is missing is text. Its vain search for the end is remembered: a later tag
+    that begins outside of the quotes which that search saw has no end either. Quotes permute
+    the three states of a search (outside, in either quote), so at most three searches fail."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.failed: list[tuple[list[int], list[int]]] = []  # begins and ends of the quotes seen
+        self.endless: set[str] = set()
+
+    def _end(self, at: int) -> int | None:
+        """Place of the ``>`` that ends a tag whose attributes begin at ``at``."""
+        if at > self.last:
+            return None
+        for begins, ends in self.failed:
+            i = bisect_left(begins, at) - 1
+            if i < 0 or ends[i] < at:
+                return None
+        begins, ends = [], []
+        while True:
+            at = UNQUOTED.match(self.page, at).end()
+            if at < len(self.page) and self.page[at] == ">":
+                return at
+            close = self.page.find(self.page[at], at + 1) if at < len(self.page) else -1
+            if close < 0:
+                begins.append(at)
+                ends.append(len(self.page))
+                self.failed.append((begins, ends))
+                return None
+            begins.append(at)
+            ends.append(close)
+            at = close + 1
+
+    def next(self, at: int) -> tuple[int, int, str, str | None, str] | None:
+        """(begin, end, slash, name, attributes) of the next tag; name None for comments and the like."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            if page.startswith("<!--", i):
+                j = page.find("-->", i + 4)
+                return i, len(page) if j < 0 else j + 3, "", None, ""
+            m = NAME.match(page, i)
+            if m and (j := self._end(m.end())) is not None:
+                return i, j + 1, m[1], m[2], page[m.end() : j]
+            if page[i + 1 : i + 2] in ("!", "?", "/") and i + 2 <= self.last:
+                return i, page.find(">", i + 2) + 1, "", None, ""
+            at = i + 1
+        return None
+
+    def end_of(self, tag: str, at: int) -> int | None:
+        """End of the closing tag of a silent element."""
+        if tag not in self.endless:
+            over = re.compile(rf"</{re.escape(tag)}\b", re.I).search(self.page, at)
+            if over and over.end() <= self.last:
+                return self.page.find(">", over.end()) + 1
+            self.endless.add(tag)
+        return None
 
 
 def names_of(tag: str, attributes: str) -> set[str]:
@@ -165,8 +230,9 @@ def settled(blocks: list[Block]) -> list[Block]:
 
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
-    root = Element("", 0, PLAIN)
-    stack = [root]
+    stack = [Element("", 0, PLAIN)]
+    places: dict[str, list[int]] = {}  # of open elements on the stack, by tag
+    tags = Tags(page)
     numbers = 0
     parts: list[str] = []
     links = link_chars = 0
@@ -180,42 +246,43 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(text.split())
             if text:
                 top = stack[-1]
-                out.append(Block(text, top.path, top.sign, top.tag, min(link_chars, len(text)), top.mark))
+                out.append(Block(text, top, top.sign, top.tag, min(link_chars, len(text)), top.mark))
             parts.clear()
         link_chars = 0
 
+    def leave(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop().tag].pop()
+
     at, end = 0, len(page)
     while at < end:
-        m = TAG.search(page, at)
-        stop = m.start() if m else end
+        found = tags.next(at)
+        stop = found[0] if found else end
         if stop > at:
             parts.append(page[at:stop])
             if links:
                 link_chars += stop - at
-        if not m:
+        if not found:
             break
-        at = m.end()
-        closing, tag, attributes = m.groups()
+        _, at, closing, tag, attributes = found
         if tag is None:
             continue
         tag = tag.lower()
         if tag in SILENT:
             if not closing and not attributes.endswith("/"):
                 parts.append(" ")
-                over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                over = tags.end_of(tag, at)
                 # a head without an end goes on as a page
-                at = over.end() if over else (at if tag == "head" else end)
+                at = over or (at if tag == "head" else end)
             continue
         if tag == "a":
             links = max(0, links + (-1 if closing else 1))
         inline = tag in INLINE
         if closing:
-            if any(e.tag == tag for e in stack):
+            if places.get(tag):
                 if not inline or stack[-1].tag == tag:
                     flush()
-                    while stack[-1].tag != tag:
-                        stack.pop()
-                    stack.pop()
+                    leave(places[tag][-1])
                     if not inline:
                         links = 0
             elif not inline:
@@ -231,19 +298,17 @@ def blocks_of(page: str) -> list[Block]:
         if not inline:
             links = 0
             # elements whose end may be left out
-            shut = CLOSES.get(tag, CLOSED_BY_BLOCK)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in shut:
-                    del stack[i:]
-                    break
-                if stack[i].tag in HOLDERS and tag not in ("td", "th", "tr"):
-                    break
+            shut = max((places[t][-1] for t in CLOSES.get(tag, CLOSED_BY_BLOCK) if places.get(t)), default=0)
+            if shut and (shut >= stack[-1].holder or tag in ("td", "th", "tr")):
+                leave(shut)
             sign = sign_of(tag, attributes, stack[-1].sign)
         if tag in VOID or attributes.endswith("/") and tag not in HOLDERS:
             continue
         numbers += 1
-        mark = stack[-1].mark or (numbers if sign == LOOSE else 0)
-        stack.append(Element(tag, numbers, sign, (*stack[-1].path, numbers), mark))
+        top = stack[-1]
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(Element(tag, numbers, sign, top, top.depth + 1, len(stack) if tag in HOLDERS else top.holder,
+                             top.mark or (numbers if sign == LOOSE else 0)))
     flush()
     return settled(out)
 
@@ -280,14 +345,15 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            a, c = blocks[i - 1].path, b.path
-            common = 0
-            for p, q in zip(a, c):
-                if p != q:
-                    break
-                common += 1
-            out.append((i - 1, i, SMOOTH * FALL ** max(len(a) - common + len(c) - common - 2, 0)))
-        parent = b.path[-2] if len(b.path) > 1 else 0
+            a, c, steps = blocks[i - 1].at, b.at, 0
+            while a is not c:
+                steps += 1
+                if a.depth >= c.depth:
+                    a = a.parent
+                else:
+                    c = c.parent
+            out.append((i - 1, i, SMOOTH * FALL ** max(steps - 2, 0)))
+        parent = b.at.parent.number if b.at.parent else 0
         if last.get(parent, i) < i - 1:
             out.append((last[parent], i, SMOOTH * FALL))
         last[parent] = i
@@ -366,7 +432,7 @@ def fit(pages: DataFrame, key: str = "page_id", page: str = "html", sample: int
     """Weights of the classifier from a bounded sample of pages."""
     ship(pages.sparkSession)
     n = pages.count()
-    some = pages.where(F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(n, 1))))
+    some = pages.where(F.pmod(F.xxhash64(F.col(key), F.col(page), F.lit(5)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(n, 1))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fillwise.llm import textblocks
-from fillwise.llm.common import out_batches, small_side, stored
+from fillwise.llm.common import out_batches, ship, small_side, stored
 from fillwise.llm.components import components
 from fillwise.session import discard
 
@@ -305,6 +305,7 @@ def cross_links(buckets: DataFrame, labelled: DataFrame, known: DataFrame) -> Da
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
+    ship(docs.sparkSession)
     rows = stored(sketch(docs, key, text, shingle))
     named = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     # written, so that the joins below shuffle plainly and a class of very many rows can be split

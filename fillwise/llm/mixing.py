@@ -93,11 +93,15 @@ def apportion(parties: DataFrame, by: Sequence[str], weight: str, seats: str, or
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None,
         weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP, block: int = BLOCK,
         shard_words: int = SHARD_WORDS, seed: str = SEED, tie: Column | None = None) -> DataFrame:
-    """``docs`` with a struct column ``_mix``: size, source_size, target, taken, passes (whole
-    readings) and parts (up to two word ranges [from, to) that are read once more)."""
+    """``docs`` with a struct column ``_mix`` (it replaces one of this name): size, source_size,
+    target, taken, passes (whole readings) and parts (up to two word ranges [from, to) that are
+    read once more)."""
     size = n_words(F.col("text")) if size is None else size
-    rows = docs.withColumn("_size", size)
-    sources = stored(rows.groupBy(F.col(source).alias("source")).agg(F.sum("_size").alias("words")))
+    # the row is one struct beside this function's own columns, so its names can't clash with them
+    own = [c for c in docs.columns if c.lower() != "_mix"]
+    rows = docs.select(F.struct(*[docs[c] for c in own]).alias("_row"), F.col(key).alias("_key"), F.col(source).alias("_of"),
+                       size.alias("_size"), (F.lit(None).cast("long") if tie is None else tie).alias("_tie"))
+    sources = stored(rows.groupBy(F.col("_of").alias("source")).agg(F.sum("_size").alias("words")))
     goal = targets(sources, weights, share, cap)
     goal = (goal.withColumn("blocks", F.floor(F.sum("target").over(Window.partitionBy()) / block).cast("long"))
             .withColumn("all", F.lit(0))
@@ -105,8 +109,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Colu
     goal = stored(apportion(goal, ["all"], "target", "blocks", "idx").withColumnRenamed("quota", "seats"))
 
     plan = small_side(goal.select(F.col("source").alias("_source"), "idx", "shards", "words", "target"))
-    placed = (rows.join(plan, F.col(source).eqNullSafe(F.col("_source"))).drop("_source")
-              .withColumn("_shard", bucket(key, seed + "/shard", 1 << 31) % F.col("shards")))
+    placed = (rows.join(plan, F.col("_of").eqNullSafe(F.col("_source"))).drop("_source")
+              .withColumn("_shard", bucket("_key", seed + "/shard", 1 << 31) % F.col("shards")))
     shards = stored(placed.groupBy("idx", "_shard").agg(F.sum("_size").alias("shard_words")))
     shards = shards.join(small_side(goal.select("idx", "seats")), "idx")
     quotas = apportion(shards, ["idx"], "shard_words", "seats", "_shard")
@@ -120,8 +124,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Colu
               .select("idx", "_shard", "_n", "_passes", "_extra", "_from"))
 
     line = Window.partitionBy("idx", "_shard").orderBy(
-        F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}/order")).cast("binary")),
-        F.col(key), F.col("_size"), *([tie] if tie is not None else []))
+        F.md5(F.concat(F.coalesce(F.col("_key").cast("string"), F.lit("")), F.lit(f"#{seed}/order")).cast("binary")),
+        "_key", "_size", "_tie")
     d = (placed.withColumn("_end", F.sum("_size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
          .join(quotas, ["idx", "_shard"]))
     start, end = F.col("_end") - F.col("_size"), F.col("_end")
@@ -136,7 +140,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Colu
                      lambda p: p["to"] > p["from"])
     d = d.withColumn("_parts", parts)
     more = F.aggregate("_parts", F.lit(0).cast("long"), lambda s, p: s + p["to"] - p["from"])
-    return d.select(*[docs[c] for c in docs.columns], F.struct(
+    return d.select("_row.*", F.struct(
         F.col("_size").alias("size"), F.col("words").cast("long").alias("source_size"), F.col("target"),
         (F.col("_passes") * F.col("_size") + more).cast("long").alias("taken"),
         F.col("_passes").cast("long").alias("passes"), F.col("_parts").alias("parts")).alias("_mix"))
