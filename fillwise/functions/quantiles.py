@@ -7,9 +7,9 @@ Here a value at a given rank is found without either:
 
 1. collapse duplicates: ``(by, x) -> count`` with map-side combine, so a hot value
    is one row;
-2. range-partition the distinct values on ``(by, x)`` into fixed slices, so a hot
-   group is spread over many tasks and every slice is a contiguous run of the
-   sort order; the slice id is stored with the rows in a table written to the
+2. range-partition and sort the distinct values on ``(by, x)``, so a hot group is spread over
+   many tasks, and cut each task's run into slices of a fixed number of values, so
+   slices grow in number with the data, not in size; the slice id is stored with the rows in a table written to the
    shared checkpoint folder, so every reader (and every retry) sees the same slices;
 3. per (slice, group) counts give each slice's rank offset (a table of at most
    slices + groups rows);
@@ -35,6 +35,10 @@ from fillwise.functions.joins import lookup_join
 from fillwise.session import cut_lineage
 
 
+#: Values of a slice: 1 << SLICE_BITS at most, whatever the size of the data.
+SLICE_BITS = 9
+
+
 def _slices(df: DataFrame, value: str | Column, by: list[str], n_slices: int | None
             ) -> tuple[DataFrame, DataFrame]:
     """(ranged distinct values with slice id, per-(slice, group) rank offsets)."""
@@ -45,8 +49,9 @@ def _slices(df: DataFrame, value: str | Column, by: list[str], n_slices: int | N
     for b in by:
         keyed = keyed.where(F.col(b).isNotNull())
     distinct = keyed.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = cut_lineage(distinct.repartitionByRange(n_slices, *by, "_x")
-                         .withColumn("_s", F.spark_partition_id()))
+    # places run through the ranges in order, so every SLICE of them is one run of values
+    ranged = cut_lineage(distinct.repartitionByRange(n_slices, *by, "_x").sortWithinPartitions(*by, "_x")
+                         .withColumn("_s", F.shiftright(F.monotonically_increasing_id(), SLICE_BITS)))
     by_group = Window.partitionBy(*by) if by else Window.partitionBy()
     stats = (ranged.groupBy("_s", *by).agg(F.sum("_c").alias("_cnt"))
              .withColumn("_off", F.coalesce(F.sum("_cnt").over(
@@ -82,19 +87,29 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     x = F.col(value).cast("double")
     known = df.select(*by, x.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     ranged, stats = _slices(known, "_v", by, slices)
-    # Rank requests come straight from the (slice, group) rows, which know the
-    # group size: the slice holding a wanted rank keeps the request.
+    targets = _targets(stats, probs, by)
+    bound = 2 * len(probs) if not by else None
+    hot = lookup_join(ranged, targets.select("_s", *by).distinct(), ["_s", *by], "left_semi", bound=bound)
+    return _interpolated(hot, targets, probs, by, bound)
+
+
+def _targets(stats: DataFrame, probs: Mapping[str, float], by: list[str]) -> DataFrame:
+    """(slice, by..., _n, _req, _local): the slices that hold wanted ranks. The requests come
+    straight from the (slice, group) rows, which know the group size."""
     wanted = F.array(*[F.struct(F.lit(f"{side}_{name}").alias("_req"), F.lit(float(q)).alias("_p"),
                                 F.lit(side).alias("_side"))
                        for name, q in probs.items() for side in ("lo", "hi")])
     pos = F.col("_w._p") * (F.col("_n") - F.lit(1))
     rank = F.when(F.col("_w._side") == "lo", F.floor(pos)).otherwise(F.ceil(pos))
-    targets = (stats.select("_s", *by, "_off", "_cnt", "_n", F.explode(wanted).alias("_w"))
-               .select("_s", *by, "_off", "_cnt", "_n", F.col("_w._req").alias("_req"), rank.alias("_rank"))
-               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
-               .select("_s", *by, "_n", "_req", (F.col("_rank") - F.col("_off")).alias("_local")))
-    bound = 2 * len(probs) if not by else None
-    hot = lookup_join(ranged, targets.select("_s", *by).distinct(), ["_s", *by], "left_semi", bound=bound)
+    return (stats.select("_s", *by, "_off", "_cnt", "_n", F.explode(wanted).alias("_w"))
+            .select("_s", *by, "_off", "_cnt", "_n", F.col("_w._req").alias("_req"), rank.alias("_rank"))
+            .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
+            .select("_s", *by, "_n", "_req", (F.col("_rank") - F.col("_off")).alias("_local")))
+
+
+def _interpolated(hot: DataFrame, targets: DataFrame, probs: Mapping[str, float], by: list[str],
+                  bound: int | None) -> DataFrame:
+    """Quantiles from the values (_x, counted _c times) of the target slices."""
     local = Window.partitionBy("_s", *by).orderBy("_x")
     ranked = hot.withColumn("_end", F.sum("_c").over(local.rowsBetween(Window.unboundedPreceding, 0)))
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
@@ -112,6 +127,40 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return pivot.select(*by, *outs)
 
 
+def quantiles_without(pool: DataFrame, held: DataFrame, value: str, probs: Mapping[str, float], copies,
+                      copy: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per (copy, by) the exact quantiles of the pool without the rows that ``held`` has under
+    this copy; one pass over the pool, not one for each copy.
+
+    The distinct values of the pool are sliced by range once. Slice counts are additive, so a
+    copy's counts are the pool's less its own held rows'; these give the slices
+    in which its wanted ranks lie, and only there are values ranked under deletion.
+    ``copies(df)`` repeats the few rows of slice counts for every copy; ``held`` has the columns
+    of the pool and ``copy``, and its rows are rows of the pool."""
+    by = list(by)
+    x = F.col(value).cast("double")
+
+    def known(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+
+    ranged, stats = _slices(known(pool, by), "_x", by, None)
+    gone = known(held, [copy, *by]).groupBy(copy, *by, "_x").agg(F.count(F.lit(1)).alias("_h"))
+    gone = cut_lineage(gone.join(ranged.select(*by, "_x", "_s"), [*by, "_x"]))
+    less = gone.groupBy(copy, *by, "_s").agg(F.sum("_h").alias("_h"))
+    keys = [copy, *by]
+    left = lookup_join(copies(stats.select("_s", *by, "_cnt")), less, [*keys, "_s"], "left")
+    left = left.withColumn("_cnt", F.col("_cnt") - F.coalesce("_h", F.lit(0)))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    left = left.select("_s", *keys, "_cnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                       F.sum("_cnt").over(group).alias("_n"))
+    targets = cut_lineage(_targets(left, probs, keys))
+    hot = ranged.join(targets.select("_s", *keys).distinct(), ["_s", *by])
+    hot = lookup_join(hot, gone.select(*keys, "_x", "_h"), [*keys, "_x"], "left")
+    hot = hot.withColumn("_c", F.col("_c") - F.coalesce("_h", F.lit(0))).drop("_h").where(F.col("_c") > 0)
+    return _interpolated(hot, targets, probs, keys, None)
+
+
 def grouped_and_global_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
                                  groups: Sequence[str], by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Per-(by, groups) and per-(by) quantiles from ONE rank-selection pass.

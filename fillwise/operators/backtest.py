@@ -24,6 +24,7 @@ from fillwise.functions.safe import safe_div
 from fillwise.operators.baselines import epsr_predict, group_average, naive_lag
 from fillwise.operators.flags import is_target, known_loose
 from fillwise.operators.nowcast import lag_hier_nowcast
+from fillwise.session import cut_lineage
 
 # Model labels of the reference's stress test.
 GROUP_AVERAGE = "Group Average"
@@ -32,6 +33,9 @@ EPSR = "EPSR"
 LAG_NOWCAST = "Lag-Aware Hierarchical Nowcast"
 
 REPEAT = "repeat"
+#: Sample keys are below this (60 bits), and the margin of their thresholds in standard deviations.
+KEYS = 1 << 60
+MARGIN = 6.0
 
 
 def excluded_months(work: DataFrame, latest: int = 2) -> DataFrame:
@@ -102,6 +106,45 @@ def holdout_flags(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) ->
     return flag_smallest_k(rows, "_key", k, [REPEAT, MONTH], "held_out").drop("_key")
 
 
+def held_out_rows(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The held-out rows of every repeat (the ``held_out`` rows of ``holdout_flags``), written,
+    without ranking or copying the rest of the pool.
+
+    Sample keys are uniform, so the k smallest of n lie below a threshold of about k / n of
+    their range. Rows under a threshold with a margin of ``MARGIN`` standard deviations pass, a row-local test;
+    of these only the band between the two thresholds is ranked, whose size is about
+    the root of k. A (repeat, month) whose band misses the k-th key takes a margin four times as wide."""
+    sizes = plan.select(MONTH, F.col("holdout_rows").cast("double").alias("_k")).join(
+        pool.groupBy(MONTH).agg(F.count(F.lit(1)).cast("double").alias("_of")), MONTH).where(F.col("_k") > 0)
+    sizes = cut_lineage(sizes)  # one row a month
+    months, margin = sizes.count(), MARGIN
+    partitions = max(int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    while True:
+        spread = F.lit(margin) * F.sqrt(F.col("_k")) + F.lit(margin * margin)
+        bounds = sizes.select(MONTH, "_k", "_of", *[
+            F.when(F.lit(high) & (F.col("_k") + spread >= F.col("_of")), F.lit(KEYS))
+            .otherwise(F.floor(F.least(F.greatest((F.col("_k") + sign * spread) / F.col("_of"), F.lit(0.0)), F.lit(1.0)) * KEYS))
+            .cast("bigint").alias(name) for name, sign, high in (("_low", -1, False), ("_high", 1, True))])
+        # spread before it is multiplied: a small pool may lie in one file
+        rows = lookup_join(pool, bounds, [MONTH], "inner").repartition(partitions)
+        near = cut_lineage(with_repeats(rows, params.n_repeats).withColumn("_key", sample_key(params.seed))
+                           .where(F.col("_key") <= F.col("_high")))
+        groups = near.groupBy(REPEAT, MONTH).agg(F.first("_k").alias("_k"), F.first("_of").alias("_of"), F.count(F.lit(1)).alias("_near"),
+                                                 F.count_if(F.col("_key") < F.col("_low")).alias("_sure"))
+        groups = cut_lineage(groups)
+        want = F.least(F.col("_k"), F.col("_of"))
+        seen = groups.agg(F.count(F.lit(1)).alias("all"), F.count_if((F.col("_near") < want) | (F.col("_sure") > want)).alias("missed")).first()
+        if not seen["missed"] and seen["all"] == params.n_repeats * months:
+            break
+        margin *= 4
+    own = [c for c in near.columns if c not in ("_low", "_high", "_k", "_of", "_key")]
+    sure = near.where(F.col("_key") < F.col("_low")).select(*own)
+    band = Window.partitionBy(REPEAT, MONTH).orderBy("_key")
+    rest = lookup_join(near.where(F.col("_key") >= F.col("_low")), groups.select(REPEAT, MONTH, "_sure"), [REPEAT, MONTH], "inner")
+    rest = rest.withColumn("_at", F.row_number().over(band)).where(F.col("_at") + F.col("_sure") <= want)
+    return cut_lineage(sure.unionByName(rest.select(*own)))
+
+
 def holdout_split(pool: DataFrame, plan: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """(train, test) for all repeats; train = the pool minus the held-out rows."""
     flagged = holdout_flags(pool, plan, params)

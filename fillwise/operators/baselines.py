@@ -29,6 +29,12 @@ def group_average(train: DataFrame, score: DataFrame, by: Sequence[str] = (),
     by = list(by)
     cohort = train.groupBy(*by, *COHORT).agg(money_mean(TARGET).alias("_group_avg"))
     glob = _scalars(train, by, money_mean(TARGET).alias("_global_avg"))
+    return apply_group_average(score, cohort, glob, by, out)
+
+
+def apply_group_average(score: DataFrame, cohort: DataFrame, glob: DataFrame, by: Sequence[str] = (),
+                        out: str = "pred") -> DataFrame:
+    by = list(by)
     s = lookup_join(score, cohort, [*by, *COHORT], "left")
     s = attach_scalars(s, glob, by, bound=None if by else 1)
     return s.withColumn(out, F.coalesce("_group_avg", "_global_avg")).drop("_group_avg", "_global_avg")
@@ -40,9 +46,19 @@ def epsr_rates(train: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]
     ``train`` is read once: the exact cohort sums are written, and the upper levels add
     them up (sums are additive, decimals exact in any order)."""
     by = list(by)
+    return rates_of(cut_lineage(cohort_sums(train, by)), by)
+
+
+def cohort_sums(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Exact revenue, streams and rows of every cohort: they add up, and subtract."""
+    return rows.groupBy(*by, *COHORT).agg(F.sum(exact(TARGET)).alias("_rev"), F.sum(STREAMS).alias("_str"),
+                                          F.count(TARGET).alias("_known"), F.count(F.lit(1)).alias("_rows"))
+
+
+def rates_of(cohort: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The rates of every level from written cohort sums."""
+    by = list(by)
     keys = [*by, *COHORT]
-    cohort = cut_lineage(train.groupBy(*keys).agg(
-        F.sum(exact(TARGET)).alias("_rev"), F.sum(STREAMS).alias("_str")))
 
     def level(names: list[str], out: str) -> DataFrame:
         sums = [F.sum("_rev").alias("_rev"), F.sum("_str").alias("_str")]

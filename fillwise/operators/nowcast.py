@@ -1,6 +1,6 @@
 """Lag-aware hierarchical nowcast (N1) and the DSP RPS guardrail (G1).
 
-Plan: the EPSR anchor reads one GROUPING SETS aggregate of the train rows; the
+Plan: the EPSR anchor reads one written table of cohort sums of the train rows; the
 lag projection is row-local (lags are already columns); the (month, dsp)
 reconciliation is a groupBy whose output (months x families x repeats) is joined
 back, never a window, because those few keys would put a third of the rows into
@@ -10,6 +10,7 @@ one window partition. The guardrail quantiles are distributed exact quantiles.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,25 @@ def rps_guardrail(train: DataFrame, scored: DataFrame, pred: str, params: Params
     without streams get 0. ``guardrail_applied`` marks rows where the cap bit.
     An empty train set leaves the predictions unchanged.
     """
-    by = list(by)
+    per_dsp, glob = grouped_and_global_quantiles(train_rps(train), "_rps", cap_probs(params), ["dsp"], by)
+    return apply_guardrail(scored, per_dsp, glob, pred, params, by)
+
+
+def train_rps(train: DataFrame) -> DataFrame:
+    """Train rows with streams and revenue, with their RPS."""
     valid = train.where(F.col(STREAMS).isNotNull() & (F.col(STREAMS) > 0)
                         & F.col(TARGET).isNotNull() & (F.col(TARGET) >= 0))
-    rps = valid.withColumn("_rps", F.col(TARGET) / (F.col(STREAMS) / F.lit(PER_MILLION)))
-    probs = {"_med": 0.5, "_p95": params.cap_quantile}
-    per_dsp, glob = grouped_and_global_quantiles(rps, "_rps", probs, ["dsp"], by)
+    return valid.withColumn("_rps", F.col(TARGET) / (F.col(STREAMS) / F.lit(PER_MILLION)))
+
+
+def cap_probs(params: Params) -> dict[str, float]:
+    return {"_med": 0.5, "_p95": params.cap_quantile}
+
+
+def apply_guardrail(scored: DataFrame, per_dsp: DataFrame, glob: DataFrame, pred: str, params: Params = DEFAULT,
+                    by: Sequence[str] = ()) -> DataFrame:
+    """The caps of G1 from the quantiles of each DSP and of all."""
+    by = list(by)
     glob = glob.select(*by, F.col("_med").alias("_gmed"), F.col("_p95").alias("_gp95"))
     if not by:
         glob = glob.agg(F.max("_gmed").alias("_gmed"), F.max("_gp95").alias("_gp95"))
@@ -62,6 +76,23 @@ def rps_guardrail(train: DataFrame, scored: DataFrame, pred: str, params: Params
     return out.drop("_med", "_p95", "_gmed", "_gp95", "_cap")
 
 
+@dataclass
+class NowcastFit:
+    """What the rule learns of its train rows: EPSR rates by level, revenue and streams in all
+    (``_tr``, ``_ts``), and the RPS quantiles of each DSP and of all."""
+    rates: dict[str, DataFrame]
+    totals: DataFrame
+    dsp_rps: DataFrame
+    all_rps: DataFrame
+
+
+def fit_nowcast(train: DataFrame, params: Params = DEFAULT, by: Sequence[str] = ()) -> NowcastFit:
+    by = list(by)
+    totals = (train.groupBy(*by) if by else train).agg(money_sum(TARGET).alias("_tr"), F.sum(STREAMS).alias("_ts"))
+    return NowcastFit(epsr_rates(train, by), totals,
+                      *grouped_and_global_quantiles(train_rps(train), "_rps", cap_probs(params), ["dsp"], by))
+
+
 def lag_hier_nowcast(train: DataFrame, scored: DataFrame, params: Params = DEFAULT,
                      by: Sequence[str] = (), reconcile_by: Sequence[str] = (),
                      out: str = "nowcast_pred", keep_parts: bool = False) -> DataFrame:
@@ -72,11 +103,18 @@ def lag_hier_nowcast(train: DataFrame, scored: DataFrame, params: Params = DEFAU
     and calibration rows in one pass while each set reconciles on its own).
     ``scored`` needs the grain, streams, ``gross_lag_1`` and ``streams_lag_1``.
     """
+    return apply_nowcast(fit_nowcast(train, params, by), scored, params, by, reconcile_by, out, keep_parts)
+
+
+def apply_nowcast(fit: NowcastFit, scored: DataFrame, params: Params = DEFAULT, by: Sequence[str] = (),
+                  reconcile_by: Sequence[str] = (), out: str = "nowcast_pred", keep_parts: bool = False) -> DataFrame:
+    """N1 from a fit. Scored rows that have their EPSR prediction as ``_epsr_pred`` keep it."""
     by = list(by)
     recon_keys = [*by, *reconcile_by, MONTH, "dsp"]
-    s = apply_epsr(scored, epsr_rates(train, by), by, out="_epsr_pred").drop("epsr_rate_used")
-    tot = (train.groupBy(*by) if by else train).agg(money_sum(TARGET).alias("_tr"), F.sum(STREAMS).alias("_ts"))
-    tot = tot.select(*by, F.coalesce(F.col("_tr") / F.greatest(F.col("_ts").cast("double"), F.lit(1.0)),
+    s = scored
+    if "_epsr_pred" not in scored.columns:
+        s = apply_epsr(scored, fit.rates, by, out="_epsr_pred").drop("epsr_rate_used")
+    tot = fit.totals.select(*by, F.coalesce(F.col("_tr") / F.greatest(F.col("_ts").cast("double"), F.lit(1.0)),
                                      F.lit(0.0)).alias("_gepsr"))
     s = attach_scalars(s, tot, by, bound=None if by else 1)
     ss = _safe_streams()
@@ -107,7 +145,7 @@ def lag_hier_nowcast(train: DataFrame, scored: DataFrame, params: Params = DEFAU
     s = s.withColumn("reconcile_scale", F.coalesce("reconcile_scale", F.lit(1.0)))
     s = s.withColumn(out, F.coalesce(non_negative(F.col("blended_pred") * F.col("reconcile_scale")),
                                      F.lit(0.0)))
-    s = rps_guardrail(train, s, out, params, by)
+    s = apply_guardrail(s, fit.dsp_rps, fit.all_rps, out, params, by)
     drop = ["_epsr_pred", "_gepsr"]
     if not keep_parts:
         drop += ["anchor_pred", "lag_proj", "blended_pred", "reconcile_scale"]

@@ -328,8 +328,7 @@ def q_month_distribution(ctx: Context) -> DataFrame:
 
 @query("backtest_holdout")
 def q_backtest_holdout(ctx: Context) -> DataFrame:
-    _, test = ctx.split()
-    return test.select(bt.REPEAT, *GRAIN)
+    return ctx.held().select(bt.REPEAT, *GRAIN)
 
 
 @query("backtest_overall", mae=M2, wmape=R6)

@@ -92,10 +92,26 @@ class Context:
                     flagged.where(F.col("held_out")).drop("held_out"))
         return self._get("split", build)
 
+    def pool(self) -> DataFrame:
+        """The known pool, written with the columns that the models read."""
+        from fillwise.config import COHORT, MONTH, STREAMS, TARGET
+        from fillwise.session import cut_lineage
+        return self._get("pool", lambda: cut_lineage(
+            self.pools()[0].select(MONTH, *COHORT, STREAMS, TARGET, "gross_lag_1", "streams_lag_1")))
+
+    def held(self) -> DataFrame:
+        """The held-out rows of every repeat."""
+        from fillwise.operators.backtest import held_out_rows
+        return self._get("held", lambda: held_out_rows(self.pool(), self.holdout_plan(), self.params))
+
     def predictions(self) -> DataFrame:
-        from fillwise.operators.backtest import backtest_predictions
+        """The four rule-based models on every repeat's held-out rows, fitted by subtraction."""
+        from fillwise.operators import backtest as bt
+        from fillwise.operators.deletion import held_predictions
         from fillwise.session import cut_lineage
-        return self._get("preds", lambda: cut_lineage(backtest_predictions(*self.split(), self.params)))
+        return self._get("preds", lambda: cut_lineage(held_predictions(
+            self.pool(), self.held(), bt.REPEAT, lambda df: bt.with_repeats(df, self.params.n_repeats),
+            (bt.GROUP_AVERAGE, bt.NAIVE, bt.EPSR, bt.LAG_NOWCAST), self.params)))
 
     def predictions_linear(self) -> DataFrame:
         """LinearRegression and Ridge on the same holdout split, every repeat

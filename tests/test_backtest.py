@@ -35,3 +35,30 @@ def test_repeats_differ(spark):
                                                                           "territory_name", "dsp"))).alias("k"))
     keys = [tuple(r.k) for r in per.collect()]
     assert len(set(keys)) > 1
+
+
+def test_held_out_rows_equal_the_ranked_ones(spark):
+    ctx = context(spark, SF)
+    keys = [REPEAT, "month", "business_unit", "territory_name", "dsp"]
+    _, test = ctx.split()
+    want = {tuple(r) for r in test.select(keys).collect()}
+    got = [tuple(r) for r in ctx.held().select(keys).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_margin_that_misses_is_widened(spark, monkeypatch):
+    from fillwise.operators import backtest as bt
+    ctx = context(spark, SF)
+    monkeypatch.setattr(bt, "MARGIN", 0.05)
+    assert bt.held_out_rows(ctx.pool(), ctx.holdout_plan(), ctx.params).exceptAll(ctx.held()).count() == 0
+
+
+def test_subtraction_equals_fits_on_copies(spark):
+    from fillwise.operators.backtest import backtest_predictions
+    ctx = context(spark, SF)
+    keys = ["model", REPEAT, "month", "business_unit", "territory_name", "dsp"]
+    want = {tuple(r[k] for k in keys): r.pred for r in backtest_predictions(*ctx.split(), ctx.params).collect()}
+    got = {tuple(r[k] for k in keys): r.pred for r in ctx.predictions().collect()}
+    assert got.keys() == want.keys()
+    for k, p in want.items():
+        assert (p is None) == (got[k] is None) and (p is None or abs(p - got[k]) <= 1e-9 * max(1, abs(p)))

@@ -73,3 +73,30 @@ def test_hot_group_is_spread_over_slices(spark):
     assert sum(r._cnt for r in hot) == int((pdf.g == "hot").sum())
     # the hot value is one row with its multiplicity
     assert ranged.where((F.col("g") == "hot") & (F.col("_x") == 1.5)).collect()[0]._c == n // 10 + 1
+
+
+def test_quantiles_without_deleted_rows(spark, monkeypatch):
+    """Ranks under deletion against numpy, with ties, nulls, NaN, and slices of two values."""
+    import random
+
+    import numpy as np
+
+    from fillwise.functions import quantiles as q
+    monkeypatch.setattr(q, "SLICE_BITS", 1)
+    rnd = random.Random(8)
+    pool = [(i, rnd.choice("abc"), rnd.choice([None, float("nan"), *map(float, range(12))])) for i in range(300)]
+    held = [(c, *r) for c in (1, 2, 3) for r in pool if rnd.random() < 0.3 or (c == 2 and r[1] == "c")]
+    got = q.quantiles_without(
+        spark.createDataFrame(pool, "id long, g string, v double"),
+        spark.createDataFrame(held, "copy int, id long, g string, v double"), "v", {"m": 0.5, "h": 0.95},
+        lambda df: df.selectExpr("*", "explode(array(1, 2, 3)) AS copy"), "copy", ["g"])
+    found = {(r["copy"], r["g"]): (r["m"], r["h"]) for r in got.collect()}
+    for c in (1, 2, 3):
+        gone = {h[1] for h in held if h[0] == c}
+        for g in "abc":
+            left = [v for i, k, v in pool if k == g and i not in gone and v is not None and v == v]
+            if not left:
+                assert (c, g) not in found
+            else:
+                assert np.allclose(found.pop((c, g)), np.quantile(left, [0.5, 0.95]))
+    assert not found
