@@ -47,7 +47,7 @@ BITS = 1 << 27
 #: Cells of a tile that is counted as a dense array.
 DENSE = 1 << 20
 #: Pairs that a task gathers before it counts them.
-GATHER = 1 << 20
+GATHER = 1 << 18
 #: Words of blocks that a task gathers before it puts them together.
 WORDS_HELD = 500_000
 #: Pairs that share a bucket of coordinates, about.
