@@ -415,27 +415,35 @@ def _level(coded: DataFrame, levels: list, buckets: int, least: int) -> DataFram
 
     packed = stored(coded.mapInArrow(count, _PACKED_SQL))
 
-    def add(final: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows() -> Iterator[tuple]:
-                total, now = None, None
-                for batch in batches:
-                    for slot, part, cell, n in zip(*(batch.column(c).to_pylist() for c in ("slot", "part", "left", "n"))):
-                        if (slot, part) != now:
-                            if now is not None:
-                                yield pack(now, total)
-                            total, now = np.zeros(_area(slot), I64), (slot, part)
-                        total[np.frombuffer(cell, np.int32)] += np.frombuffer(n, I64)
-                if now is not None:
-                    yield pack(now, total)
-
-            yield from out_batches(rows(), _PACKED)
-
-        def pack(now: tuple[int, int], total: np.ndarray) -> tuple:
-            cell = np.flatnonzero(total >= (least if final else 1))
-            return TILE, *now, cell.astype(np.int32).tobytes(), b"", total[cell].tobytes()
-
-        return run
+    counted = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(slot, part, sums of the cells) of parts that follow each other."""
+        total, now = None, None
+        for batch in batches:
+            for slot, part, cell, n in zip(*(batch.column(c).to_pylist() for c in ("slot", "part", "left", "n"))):
+                if (slot, part) != now:
+                    if now is not None:
+                        yield *now, total
+                    total, now = np.zeros(_area(slot), I64), (slot, part)
+                total[np.frombuffer(cell, np.int32)] += np.frombuffer(n, I64)
+        if now is not None:
+            yield *now, total
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for slot, part, total in totals(batches):
+                cell = np.flatnonzero(total)
+                yield TILE, slot, part, cell.astype(np.int32).tobytes(), b"", total[cell].tobytes()
+
+        yield from out_batches(rows(), _PACKED)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole tiles: frequent cells back to ids."""
+        for slot, _, total in totals(batches):
+            cell = np.flatnonzero(total >= least)
+            pair = located((slot << LOCAL_BITS) | cell, levels[-1].value, levels[0].value)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, pair), pa.array(total[cell])], schema=counted)
 
     tiles = packed.where(F.col("kind") == TILE)
     most = tiles.groupBy("slot").count().agg(F.max("count")).first()[0] or 1
@@ -443,20 +451,9 @@ def _level(coded: DataFrame, levels: list, buckets: int, least: int) -> DataFram
         most = -(-most // FAN)
         dealt = (tiles.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(most))).repartition("slot", "part")
                  .sortWithinPartitions("slot", "part"))
-        tiles = dealt.mapInArrow(add(most == 1), _PACKED_SQL)
         if most == 1:
             break
-        tiles = stored(tiles)
-
-    counted = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Cells of tiles back to ids."""
-        for batch in batches:
-            for slot, cell, n in zip(*(batch.column(c).to_pylist() for c in ("slot", "left", "n"))):
-                address = (slot << LOCAL_BITS) | np.frombuffer(cell, np.int32).astype(I64)
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, located(address, levels[-1].value, levels[0].value)), pa.array(np.frombuffer(n, I64))], schema=counted)
+        tiles = stored(dealt.mapInArrow(add, _PACKED_SQL))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Buckets of coordinates: sorted, added, filtered."""
@@ -483,7 +480,8 @@ def _level(coded: DataFrame, levels: list, buckets: int, least: int) -> DataFram
 
     rest = packed.where(F.col("kind") != TILE).repartition("kind", "slot").sortWithinPartitions("kind", "slot")
     out = "left long, right long, n long"
-    return stored(tiles.mapInArrow(unpack, out).unionByName(rest.mapInArrow(merge, out)))
+    # one Python function a task: each chained one would be another worker process beside it
+    return stored(dealt.mapInArrow(finish, out).unionByName(rest.mapInArrow(merge, out)))
 
 
 def _codes(coded: DataFrame, known) -> DataFrame:
