@@ -51,6 +51,15 @@ def grain_key() -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
+def neighbour_mean(nn: str) -> Column:
+    """Mean of the targets of (dist, tid, y) neighbours weighted by 1 / distance; of those at distance 0 only, if any."""
+    zero = F.filter(nn, lambda e: e["dist"] == 0)
+    mean_zero = F.aggregate(zero, F.lit(0.0), lambda a, e: a + e["y"]) / F.size(zero)
+    weighted = F.aggregate(nn, F.lit(0.0), lambda a, e: a + e["y"] / e["dist"])
+    weights = F.aggregate(nn, F.lit(0.0), lambda a, e: a + F.lit(1.0) / e["dist"])
+    return F.when(F.size(zero) > 0, mean_zero).otherwise(weighted / weights)
+
+
 def _points(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1)
@@ -176,10 +185,5 @@ def fit_predict_knn(train: DataFrame, score: DataFrame, k: int = 21, out: str =
             .withColumn("at", F.row_number().over(by_distance)).where(F.col("at") <= k))
     # k rows a query, in order
     got = best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "tid", "y"))).alias("nn"))
-    zero = F.filter("nn", lambda e: e["dist"] == 0)
-    mean_zero = F.aggregate(zero, F.lit(0.0), lambda a, e: a + e["y"]) / F.size(zero)
-    weighted = F.aggregate("nn", F.lit(0.0), lambda a, e: a + e["y"] / e["dist"])
-    weights = F.aggregate("nn", F.lit(0.0), lambda a, e: a + F.lit(1.0) / e["dist"])
-    pred = F.when(F.size(zero) > 0, mean_zero).otherwise(weighted / weights)
-    got = got.select("qid", non_negative(pred).alias(out))
+    got = got.select("qid", non_negative(neighbour_mean("nn")).alias(out))
     return lookup_join(score.withColumn("qid", grain_key()), got, ["qid"], "left").drop("qid")

@@ -68,10 +68,9 @@ def _tree_encoder(numeric: list[str]) -> Pipeline:
     """Full one-hot (pandas ``get_dummies``): every train level gets a column."""
     idx = StringIndexer(inputCols=list(COHORT), outputCols=[f"_{c}_idx" for c in COHORT],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
-    # dropLast drops the "unseen level" slot that handleInvalid='keep' appends, so a
-    # level first seen at scoring encodes as all zeros.
-    ohe = OneHotEncoder(inputCols=[f"_{c}_idx" for c in COHORT], outputCols=[f"_{c}_ohe" for c in COHORT],
-                        handleInvalid="keep", dropLast=True)
+    # dropLast drops the indexer's slot for unseen levels, so a level first seen at scoring
+    # encodes as all zeros (the encoder's own handleInvalid='keep' would add one more slot).
+    ohe = OneHotEncoder(inputCols=[f"_{c}_idx" for c in COHORT], outputCols=[f"_{c}_ohe" for c in COHORT], dropLast=True)
     asm = VectorAssembler(inputCols=[f"_{c}_ohe" for c in COHORT] + numeric, outputCol="features",
                           handleInvalid="keep")
     return Pipeline(stages=[idx, ohe, asm])

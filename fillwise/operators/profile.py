@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillwise.config import COHORT, FLAG, MONTH, STREAMS, TARGET
@@ -50,16 +50,30 @@ def monthly_totals(panel: DataFrame, dims: Sequence[str] = ("dsp", "territory_na
     return g.select(name.alias("dimension"), value.alias("value"), MONTH, TARGET, STREAMS)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """32 bytes that stand for a whole row: the SHA-256 of its columns' names, nulls and texts."""
+    parts = []
+    for c in sorted(df.columns):
+        text = F.col(f"`{c}`").cast("string")
+        # the length before each text keeps neighbouring columns apart; a null has none
+        parts += [F.lit(f"{c}="), F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("null"))]
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
+
+
 def table_profile(df: DataFrame, table: str) -> DataFrame:
-    """Per column, the table's rows, the column's NULL count and the table's
-    duplicate rows (rows minus distinct rows), in one aggregate plus one distinct."""
-    counts = df.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    dups = df.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    stack = ", ".join(f"'{c}', `{c}`" for c in df.columns)
-    long = counts.selectExpr("rows", f"stack({len(df.columns)}, {stack}) AS (column_name, nulls)")
-    return long.crossJoin(dups).select(
-        F.lit(table).alias("table_name"), "column_name", "rows", "nulls",
+    """Per column, the table's rows, the column's NULL count and the table's duplicate rows
+    (rows minus distinct rows). One reading: rows are counted by digest, so the shuffle holds 32
+    bytes and the null counts of each distinct row, partly summed before it, not whole rows."""
+    named = {c: f"_n{i}" for i, c in enumerate(df.columns)}
+    nulls = [F.col(f"`{c}`").isNull().cast("int").alias(n) for c, n in named.items()]
+    distinct = df.select(row_digest(df).alias("_d"), *nulls).groupBy("_d").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(n).alias(n) for n in named.values()])
+    # equal rows have equal nulls, so a distinct row's nulls count as often as the row
+    counts = distinct.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("_distinct"),
+                          *[F.coalesce(F.sum(F.col(n) * F.col("_rows")), F.lit(0)).alias(n) for n in named.values()])
+    one = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(n).alias("nulls")) for c, n in named.items()])
+    return counts.select("rows", "_distinct", F.explode(one).alias("_c")).select(
+        F.lit(table).alias("table_name"), "_c.column_name", "rows", "_c.nulls",
         (F.col("rows") - F.col("_distinct")).alias("duplicate_rows"))
 
 

@@ -23,6 +23,9 @@ from fillwise.operators.intervals import calibration_quantiles
 from fillwise.operators.nowcast import lag_hier_nowcast
 from fillwise.plans.context import Context, context
 from fillwise.plans.rounding import round_spark
+from fillwise.functions.tables import replace_by_key
+from fillwise.operators.held_models import residuals, revenue_moments
+from fillwise.sources.fixtures import source_lines
 from fillwise.sources import io as sio
 
 
@@ -357,9 +360,9 @@ def q_stress_rank(ctx: Context) -> DataFrame:
 
 @query("stress_summary_all", mean=R6, std=R6, p10=R6, p50=R6, p90=R6)
 def q_stress_summary_all(ctx: Context) -> DataFrame:
-    """A19 over six models: the four rule-based ones plus LinearRegression and
-    Ridge, whose 30 per-repeat fits come from one aggregation job."""
-    preds = ctx.predictions().unionByName(ctx.predictions_linear())
+    """A19 over seven models: the four rule-based ones, LinearRegression and Ridge from train
+    matrices by subtraction, and KNN from one placing of the pool."""
+    preds = ctx.predictions().unionByName(ctx.predictions_linear()).unionByName(ctx.predictions_knn())
     return bt.stress_summary(bt.overall_metrics(preds), ctx.params)
 
 
@@ -393,6 +396,13 @@ def q_table_profile(ctx: Context) -> DataFrame:
     return prof.table_profile(ctx.panel(), "panel").unionByName(prof.table_profile(ctx.final(), "final_view"))
 
 
+@query("source_profile")
+def q_source_profile(ctx: Context) -> DataFrame:
+    """A22 of the two source tables at line level."""
+    revenue, streams = source_lines(ctx.spark, ctx.sf_dir)
+    return prof.table_profile(revenue, "revenue").unionByName(prof.table_profile(streams, "streams"))
+
+
 @query("source_levels")
 def q_source_levels(ctx: Context) -> DataFrame:
     """A23 of the two fact tables as they arrive."""
@@ -561,6 +571,21 @@ def q_model_sweep(ctx: Context) -> DataFrame:
     return bt.method_metrics(preds)
 
 
+@query("linear_residuals", residual=R6)
+def q_linear_residuals(ctx: Context) -> DataFrame:
+    """M3/M4: the normal equations of both fits on the rows that the write-back trains on, in parts
+    of their own sizes: 0 everywhere."""
+    train, _ = _model_targets(ctx)
+    return residuals(train, {ml.LINEAR: None, ml.RIDGE: 10.0})
+
+
+@query("linear_moments", mean_product=M2)
+def q_linear_moments(ctx: Context) -> DataFrame:
+    """M2-M4: products of the design's columns with revenue, per train row, as the fits gather them."""
+    train, _ = _model_targets(ctx)
+    return revenue_moments(train)
+
+
 # ---------------------------------------------------------------------------
 # Sources and sinks: round trips through files in the shared checkpoint folder
 # ---------------------------------------------------------------------------
@@ -593,6 +618,47 @@ def q_panel_roundtrip(ctx: Context) -> DataFrame:
     return sio.read_panel(ctx.spark, path)
 
 
+@query("outputs_roundtrip", total_gross_amount=M2, filled_revenue=M2, nowcast_lower_90=M2, nowcast_upper_90=M2, rps=M2)
+def q_outputs_roundtrip(ctx: Context) -> DataFrame:
+    """The deliverable written with its audits and read back."""
+    path = _scratch(ctx, "outputs")
+    final = ctx.final()
+    sio.write_outputs(final, audit.suspicious_rows(final, ctx.params), audit.dsp_month_reliability(final, ctx.params),
+                      q_run_summary(ctx), path)
+    back = ctx.spark.read.parquet(f"{path}/final_view")
+    return back.withColumn(MONTH, F.col(MONTH).cast("date")).select(*final.columns)
+
+
+@query("summary_json_roundtrip", **REGISTRY["run_summary"].digits)
+def q_summary_json_roundtrip(ctx: Context) -> DataFrame:
+    """The run summary written as JSON and read back with its own schema."""
+    path = _scratch(ctx, "summary")
+    summary = q_run_summary(ctx)
+    sio.write_summary(summary, path)
+    return ctx.spark.read.schema(summary.schema).json(path)
+
+
+@query("panel_refresh", total_gross_amount=M2)
+def q_panel_refresh(ctx: Context) -> DataFrame:
+    """A panel saved before its latest month's revenue arrived, then refreshed with the whole one."""
+    path = _scratch(ctx, "refresh")
+    panel = ctx.panel()
+    last = panel.agg(F.max(MONTH).alias("_last"))
+    early = panel.crossJoin(F.broadcast(last)).withColumn(
+        TARGET, F.when(F.col(MONTH) < F.col("_last"), F.col(TARGET))).drop("_last")
+    sio.write_panel(early, path)
+    sio.refresh_panel(panel, path)
+    return sio.read_panel(ctx.spark, path)
+
+
+@query("replace_by_key", mae=M2, wmape=R6)
+def q_replace_by_key(ctx: Context) -> DataFrame:
+    """The metric table of the rule-based models, the record of EPSR blanked and then put back."""
+    table = q_eval_metrics(ctx)
+    blank = table.withColumn("wmape", F.when(F.col("model") != "EPSR", F.col("wmape")))
+    return replace_by_key(blank, table.where(F.col("model") == "EPSR"), ["model"])
+
+
 @query("harmonized_panel_sql", total_gross_amount=M2)
 def q_harmonized_panel_sql(ctx: Context) -> DataFrame:
     """S3: the same panel from Spark SQL over registered temp views."""

@@ -97,7 +97,7 @@ class Context:
         from fillwise.config import COHORT, MONTH, STREAMS, TARGET
         from fillwise.session import cut_lineage
         return self._get("pool", lambda: cut_lineage(
-            self.pools()[0].select(MONTH, *COHORT, STREAMS, TARGET, "gross_lag_1", "streams_lag_1")))
+            self.pools()[0].select(MONTH, *COHORT, STREAMS, TARGET, "gross_lag_1", "streams_lag_1", "epsr_lag_1")))
 
     def held(self) -> DataFrame:
         """The held-out rows of every repeat."""
@@ -113,23 +113,31 @@ class Context:
             self.pool(), self.held(), bt.REPEAT, lambda df: bt.with_repeats(df, self.params.n_repeats),
             (bt.GROUP_AVERAGE, bt.NAIVE, bt.EPSR, bt.LAG_NOWCAST), self.params)))
 
+    def held_fits(self):
+        """Train matrices and lag medians of every repeat, by subtraction."""
+        from fillwise.operators import backtest as bt
+        from fillwise.operators.held_models import fit_pool
+        return self._get("held_fits", lambda: fit_pool(
+            self.pool(), self.held(), bt.REPEAT, self.params.n_repeats, lambda df: bt.with_repeats(df, self.params.n_repeats)))
+
     def predictions_linear(self) -> DataFrame:
-        """LinearRegression and Ridge on the same holdout split, every repeat
-        fitted in one aggregation job."""
-        from pyspark.sql import functions as F
-        from fillwise.config import COHORT, MONTH, TARGET
+        """LinearRegression and Ridge on every repeat's held-out rows."""
         from fillwise.operators import ml
         from fillwise.operators.backtest import REPEAT
+        from fillwise.operators.held_models import predict_linear
         from fillwise.session import cut_lineage
+        return self._get("preds_linear", lambda: cut_lineage(predict_linear(
+            self.held_fits(), self.held(), REPEAT, {ml.LINEAR: None, ml.RIDGE: 10.0})))
 
-        def build():
-            train, test = self.split()
-            keys = [REPEAT, MONTH, *COHORT]
-            parts = [ml.fit_predict_linear_by(train, test, [REPEAT], alpha=a)
-                     .select(F.lit(name).alias("model"), *keys, TARGET, F.col("pred").cast("double").alias("pred"))
-                     for name, a in ((ml.LINEAR, None), (ml.RIDGE, 10.0))]
-            return cut_lineage(parts[0].unionByName(parts[1]))
-        return self._get("preds_linear", build)
+    def predictions_knn(self) -> DataFrame:
+        """KNN on every repeat's held-out rows, from one placing of the pool."""
+        from pyspark.sql import functions as F
+        from fillwise.operators import ml
+        from fillwise.operators.backtest import REPEAT
+        from fillwise.operators.knn_held import predict_knn
+        from fillwise.session import cut_lineage
+        return self._get("preds_knn", lambda: cut_lineage(
+            predict_knn(self.held_fits(), self.pool(), self.held(), REPEAT).withColumn("model", F.lit(ml.KNN))))
 
 
 def context(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Context:

@@ -51,8 +51,21 @@ def _family_name(fam_no: Column) -> Column:
     return out
 
 
-def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales lines summed to (month, segment, country, brand), both measures at once."""
+def _measures() -> tuple[Column, Column, Column, Column]:
+    """Which facts a sales line is in, and its revenue and plays."""
+    rev_kept = (F.col("cell") % 11 != 0) & ~((F.col("mi") >= LAST_FULL_MONTH_INDEX) & (F.col("cell") % 5 != 0))
+    streams_kept = F.col("cell") % 97 != 0
+    # prices and discounts have two decimals, so a line has four; rounding leaves no float noise
+    amount = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")), 4)
+    reported = (F.when(F.col("cell") % 23 == 0, F.lit(0.0))
+                .when(F.col("cell") % 29 == 0, F.round(amount * F.lit(0.01), 6))
+                .otherwise(amount))
+    plays = (F.col("l_quantity") * 1000).cast("bigint")
+    return rev_kept, streams_kept, reported, plays
+
+
+def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines with month, segment, country, brand, family number and cell."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
@@ -75,15 +88,13 @@ def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     fam_no = _family_number(F.substring("raw_dsp", 7, 10).cast("int"))
     cell = (F.col("mi") * 7 + F.col("terr_no") * 3 + F.length("business_unit") * 17 + F.col("fam_no") * 5)
-    lines = lines.withColumn("fam_no", fam_no).withColumn("cell", cell)
-    rev_kept = (F.col("cell") % 11 != 0) & ~((F.col("mi") >= LAST_FULL_MONTH_INDEX) & (F.col("cell") % 5 != 0))
-    streams_kept = F.col("cell") % 97 != 0
-    # prices and discounts have two decimals, so a line has four; rounding leaves no float noise
-    amount = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")), 4)
-    reported = (F.when(F.col("cell") % 23 == 0, F.lit(0.0))
-                .when(F.col("cell") % 29 == 0, F.round(amount * F.lit(0.01), 6))
-                .otherwise(amount))
-    plays = (F.col("l_quantity") * 1000).cast("bigint")
+    return lines.withColumn("fam_no", fam_no).withColumn("cell", cell)
+
+
+def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines summed to (month, segment, country, brand), both measures at once."""
+    lines = _sales_lines(spark, sf_dir)
+    rev_kept, streams_kept, reported, plays = _measures()
     return (lines.groupBy("month", "business_unit", "country", "terr_no", "raw_dsp", "fam_no")
             .agg(money_sum(F.when(rev_kept, reported)).alias("reported"),
                  F.max(rev_kept.cast("int")).alias("rev_kept"),
@@ -91,6 +102,21 @@ def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max(streams_kept.cast("int")).alias("streams_kept")))
 
 
+def _territory() -> Column:
+    return F.when(F.col("terr_no") < NAMED_TERRITORY_KEYS, F.col("country")).otherwise(F.lit(OTHER_TERRITORY))
+
+
+def source_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(revenue, streams) before any summing: one row a sales line."""
+    lines = _sales_lines(spark, sf_dir)
+    rev_kept, streams_kept, reported, plays = _measures()
+    revenue = lines.where(rev_kept).select("month", "business_unit", _territory().alias("territory_name"),
+                                           F.col("raw_dsp").alias("dsp"), reported.alias("total_gross_amount"))
+    streams = lines.where(streams_kept).select("month", "business_unit", "country",
+                                               _family_name(F.col("fam_no")).alias("dsp"), plays.alias("total_streams"))
+    return revenue, streams
+
+
 def revenue_streams(spark: SparkSession, sf_dir: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(revenue, streams) in the reference's input schemas.
 
@@ -103,8 +129,7 @@ def revenue_streams(spark: SparkSession, sf_dir: str, materialize: bool = True)
         cells = cut_lineage(cells)
     revenue = cells.where(F.col("rev_kept") == 1).select(
         "month", "business_unit",
-        F.when(F.col("terr_no") < NAMED_TERRITORY_KEYS, F.col("country"))
-        .otherwise(F.lit(OTHER_TERRITORY)).alias("territory_name"),
+        _territory().alias("territory_name"),
         F.col("raw_dsp").alias("dsp"),
         F.col("reported").alias("total_gross_amount"))
     streams = cells.where(F.col("streams_kept") == 1).select(

@@ -1,0 +1,2 @@
+-- ctes: panel
+SELECT * FROM panel

@@ -71,3 +71,47 @@ def test_bad_amounts_and_swapped_columns_stop_the_run(spark, tmp_path):
     for name in ("bad.csv", "swapped.csv"):
         with pytest.raises(Exception):
             read_revenue_csv(spark, str(tmp_path / name)).collect()
+
+
+def test_refresh_rewrites_only_the_months_that_differ(spark, tmp_path):
+    import datetime as dt
+    import glob
+
+    from frames import m, panel
+    rows = [(m(i), b, "T", d, 100 * i, 1.5 * i) for i in (1, 2, 3) for b in ("A", "B") for d in ("X", None)]
+    path = str(tmp_path / "panel")
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/month=*/*.parquet")}
+
+    def saved():
+        return sorted(map(str, sio.read_panel(spark, path).collect()))
+
+    assert sio.refresh_panel(panel(spark, rows), path) == [m(1), m(2), m(3)]
+    first = files()
+    # the same rows in another order change nothing
+    assert sio.refresh_panel(panel(spark, rows[::-1]).repartition(5), path) == []
+    assert files() == first
+    late = [r[:5] + (99.0,) if r[0] == m(2) and r[1] == "B" else r for r in rows] + [rows[0]]
+    late = [r for r in late if r[0] != m(3)] + [(m(4), "A", "T", "X", 1, None), (None, "A", "T", "X", 1, 2.0)]
+    # a repeated row, a changed amount, a month gone, a new one and a row without a month
+    assert sio.refresh_panel(panel(spark, late), path) == [None, m(1), m(2), m(3), m(4)]
+    assert saved() == sorted(map(str, panel(spark, late).collect()))
+    assert sio.refresh_panel(panel(spark, late), path) == []
+    before = files()
+    one = [r[:5] + (7.0,) if r[0] == dt.date(2025, 4, 1) else r for r in late]
+    assert sio.refresh_panel(panel(spark, one), path) == [m(4)]
+    after = files()
+    assert {f for f in before if "month=2025-04" not in f} == {f for f in after if "month=2025-04" not in f}
+    assert all(after[f] == t for f, t in before.items() if f in after)
+    assert saved() == sorted(map(str, panel(spark, one).collect()))
+
+
+def test_profile_counts_rows_by_digest(spark):
+    from fillwise.operators.profile import table_profile
+    # neighbouring texts that join to the same string, nulls against their word, repeated rows
+    rows = [("a", "bc"), ("ab", "c"), ("ab", "c"), (None, "null"), ("null", None), (None, None), (None, None), ("", "")]
+    got = {r.column_name: r for r in table_profile(spark.createDataFrame(rows, "x string, `y.z` string"), "t").collect()}
+    assert {c: (r["rows"], r.nulls, r.duplicate_rows) for c, r in got.items()} == {"x": (8, 3, 2), "y.z": (8, 3, 2)}
+    empty = table_profile(spark.createDataFrame([], "x string"), "t").first()
+    assert (empty["rows"], empty.nulls, empty.duplicate_rows) == (0, 0, 0)
