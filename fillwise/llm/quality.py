@@ -9,8 +9,10 @@ each row gets from the system that did not see it. Isotonic regression gives the
 probability of label 1; between the pooled blocks it is interpolated, so scores keep order.
 
 Labels come from rows outside the held-out fold (crc32 of the id's text mod 5 is 0). At most
-``TRAIN_ROWS`` labelled rows, chosen by a hash of the id, fit the model; the scoring covers
-every row and depends on the text alone.
+about ``TRAIN_ROWS`` labelled ids, chosen by a hash, fit the model, and where ids repeat about that
+many of their rows, by a hash of id and text. Only these are measured. Rows of equal statistics,
+label and fold are one with a weight, so no key is hot. The scoring covers every row and
+depends on the text alone.
 
 Rows: null or empty texts have the statistics of an empty text and are scored; ids may be
 null or repeated (each row is scored; held-out is taken of an empty id); several labels of
@@ -121,16 +123,17 @@ class Model:
         return 0.999 * np.interp(raw, self.x, self.p) + 0.001 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: centres and means of the blocks, both ascending."""
     order = np.argsort(x, kind="stable")
+    weight = np.ones(len(x)) if weight is None else weight
     sums: list[float] = []
-    sizes: list[int] = []
+    sizes: list[float] = []
     centres: list[float] = []
-    for xi, yi in zip(x[order].tolist(), y[order].tolist()):
-        sums.append(yi)
-        sizes.append(1)
-        centres.append(xi)
+    for xi, yi, wi in zip(x[order].tolist(), y[order].tolist(), weight[order].tolist()):
+        sums.append(yi * wi)
+        sizes.append(wi)
+        centres.append(xi * wi)
         while len(sums) > 1 and sums[-2] * sizes[-1] >= sums[-1] * sizes[-2]:
             s, n, c = sums.pop(), sizes.pop(), centres.pop()
             sums[-1] += s
@@ -145,11 +148,12 @@ def held_out(key: str, folds: int, of: int) -> Column:
     return F.crc32(text.cast("binary")) % folds == of
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """(statistics, label, fold, weight) of some rows."""
     stats = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_STATS)
-    y, fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+    y, fold, weight = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
     for i in range(0, len(y), 2000):
-        yield stats[i : i + 2000], y[i : i + 2000], fold[i : i + 2000]
+        yield stats[i : i + 2000], y[i : i + 2000], fold[i : i + 2000], weight[i : i + 2000]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
@@ -162,26 +166,30 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if n > train_rows:  # the same rows in every run: those whose hash is low
         known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * train_rows / n))
 
+    # about train_rows ids at most, so they are broadcast, and only their texts are measured
+    at = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
+    chosen = at.join(F.broadcast(known.select(F.col("_id").cast("long").alias("_id"), "y")), "_id")
+    m = chosen.count()  # reads ids alone
+    if m > train_rows:
+        chosen = chosen.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 30)) < int((1 << 30) * train_rows / m))
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = statistics(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(
-                stats.ravel(), N_STATS).cast(pa.list_(pa.float64()))], ["_id", "stats"])
-
-    # every text is measured where it is read; only its few numbers meet the labels
-    measured = docs.select(F.col(key).cast("long").alias("_id"), F.col(text)).where(
-        F.col("_id").isNotNull() & ~held_out("_id", 5, 0)).mapInArrow(measure, "_id long, stats array<double>")
-    train = (measured.join(known, "_id")
-             .select("stats", "y", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"))
-             .repartition(SUM_TASKS, F.xxhash64("stats")))
-    train = stored(train)
+            stats = statistics(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(
+                stats.ravel(), N_STATS).cast(pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["stats", "y", "fold"])
+
+    measured = chosen.select("_text", "y", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold")).mapInArrow(
+        measure, "stats array<double>, y double, fold int")
+    same = measured.groupBy("stats", "y", "fold").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    train = stored(same.repartition(SUM_TASKS, "stats", "y", "fold").sortWithinPartitions("stats", "y", "fold"))
     empty = Model(np.zeros(N_STATS), np.ones(N_STATS), np.zeros(FEATURES + 1), np.zeros(0), np.zeros(0))
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * N_STATS + 1)
         for batch in batches:
-            for stats, _, _ in _chunks(batch):
-                total += np.concatenate([[len(stats)], stats.sum(0), (stats**2).sum(0)])
+            for stats, _, _, weight in _chunks(batch):
+                total += np.concatenate([[weight.sum()], weight @ stats, weight @ stats**2])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
     total = sum((np.frombuffer(r["sums"]) for r in train.mapInArrow(moments, "sums binary").collect()),
@@ -196,11 +204,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         d = FEATURES + 1
         sums = np.zeros((FOLDS, d, d + 1))
         for batch in batches:
-            for stats, y, fold in _chunks(batch):
+            for stats, y, fold, weight in _chunks(batch):
                 x = model.features(stats)
                 for f in range(FOLDS):
                     xf = x[fold == f]
-                    sums[f] += xf.T @ np.hstack([xf, y[fold == f][:, None]])
+                    sums[f] += (xf * weight[fold == f][:, None]).T @ np.hstack([xf, y[fold == f][:, None]])
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()])], ["sums"])
 
     shape = (FOLDS, FEATURES + 1, FEATURES + 2)
@@ -216,15 +224,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for stats, y, fold in _chunks(batch):
+            for stats, y, fold, weight in _chunks(batch):
                 x = model.features(stats)
                 raw = np.choose(fold, [x @ beta for beta in betas])
-                yield pa.RecordBatch.from_arrays([pa.array(raw), pa.array(y)], ["raw", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(raw), pa.array(y), pa.array(weight)], ["raw", "y", "weight"])
 
-    # at most about TRAIN_ROWS pairs of numbers
-    pairs = np.array([(r["raw"], r["y"]) for r in train.mapInArrow(unseen, "raw double, y double").collect()])
+    # at most about TRAIN_ROWS triples of numbers
+    pairs = np.array([tuple(r) for r in train.mapInArrow(unseen, "raw double, y double, weight double").collect()])
     model.beta = solve(sums.sum(0))
-    model.x, model.p = isotonic(pairs[:, 0], pairs[:, 1])
+    model.x, model.p = isotonic(pairs[:, 0], pairs[:, 1], pairs[:, 2])
     return model
 
 
