@@ -41,8 +41,11 @@ SUM_TASKS = 6
 #: outside the vocabulary.
 POOLED = 2_000.0
 UNKNOWN = 1e-7
-#: Longer runs of letters are scored in pieces of this length.
-WORD_CHARS = 32
+#: Longer words carry an exponent beside each number, as their probabilities leave a double's range.
+PLAIN_CHARS = 32
+#: Words and characters that go through the vocabulary's graph together, and characters that a memo holds.
+WORDS_AT_ONCE, CHARS_AT_ONCE = 5_000, 160_000
+CHARS_KEPT = 12_000_000
 WORDS_KEPT = 700_000
 UND = "und"
 START = "▁"
@@ -78,14 +81,16 @@ class Lattice:
 
     def forward(self, words: list[str], p: np.ndarray) -> np.ndarray:
         """log of the sum over all segmentations: words x languages. ``p``: pieces x languages."""
-        first, size, a, b, piece = self.edges(words)
-        alpha = self._sweep(first, size, a, b, piece, p, False)
-        return np.log(alpha[first + size])
+        out = np.zeros((len(words), p.shape[1]))
+        for at, long in portions(words):
+            first, size, a, b, piece = self.edges([words[i] for i in at])
+            alpha, power = (self._scaled if long else self._sweep)(first, size, a, b, piece, p, False)
+            out[at] = np.log(alpha[first + size]) + (power[first + size] * np.log(2) if long else 0.0)
+        return out
 
-    def _sweep(self, first, size, a, b, piece, p, back: bool) -> np.ndarray:
-        n = int(first[-1] + size[-1]) + 2
-        value = np.zeros((n, p.shape[1]))
-        value[first + size if back else first] = 1
+    @staticmethod
+    def _steps(first, a, b, back: bool):
+        """(edges, from, to, first edge of each target) of all words, position after position."""
         owner_first = first[np.searchsorted(first, a, "right") - 1]
         step = (a if back else b) - owner_first
         order = np.lexsort((a if back else b, -step if back else step))
@@ -94,19 +99,55 @@ class Lattice:
         for i, j in zip(cut, cut[1:]):
             e = order[i:j]
             src, dst = (b[e], a[e]) if back else (a[e], b[e])
-            head = np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]]))
+            yield e, src, dst, np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]]))
+
+    def _sweep(self, first, size, a, b, piece, p, back: bool) -> tuple[np.ndarray, None]:
+        value = np.zeros((int(first[-1] + size[-1]) + 2, p.shape[1]))
+        value[first + size if back else first] = 1
+        for e, src, dst, head in self._steps(first, a, b, back):
             value[dst[head]] = np.add.reduceat(value[src] * p[piece[e]], head, axis=0)
-        return value
+        return value, None
+
+    def _scaled(self, first, size, a, b, piece, p, back: bool) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_sweep``, each number being value * 2 ** power, so that words of any length fit."""
+        value = np.zeros((int(first[-1] + size[-1]) + 2, p.shape[1]))
+        power = np.zeros(value.shape, np.int64)
+        value[first + size if back else first] = 1
+        for e, src, dst, head in self._steps(first, a, b, back):
+            most = np.maximum.reduceat(power[src], head, axis=0)
+            below = power[src] - np.repeat(most, np.diff(np.append(head, len(dst))), axis=0)
+            part = np.ldexp(value[src] * p[piece[e]], np.maximum(below, -4000).astype(np.int32))
+            value[dst[head]], up = np.frexp(np.add.reduceat(part, head, axis=0))
+            power[dst[head]] = most + up
+        return value, power
 
     def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected uses of each piece, pieces x languages. ``counts``: words x languages."""
-        first, size, a, b, piece = self.edges(words)
-        alpha = self._sweep(first, size, a, b, piece, p, False)
-        beta = self._sweep(first, size, a, b, piece, p, True)
-        word = np.searchsorted(first, a, "right") - 1
-        weight = counts / alpha[first + size]
-        use = alpha[a] * p[piece] * beta[b] * weight[word]
-        return np.stack([np.bincount(piece, use[:, k], self.size + 1) for k in range(p.shape[1])], 1)
+        total = np.zeros((self.size + 1, p.shape[1]))
+        for at, long in portions(words):
+            first, size, a, b, piece = self.edges([words[i] for i in at])
+            sweep = self._scaled if long else self._sweep
+            alpha, ahead = sweep(first, size, a, b, piece, p, False)
+            beta, behind = sweep(first, size, a, b, piece, p, True)
+            word = np.searchsorted(first, a, "right") - 1
+            weight = counts[at] / alpha[first + size]
+            use = alpha[a] * p[piece] * beta[b] * weight[word]
+            if long:
+                use = np.ldexp(use, np.maximum(ahead[a] + behind[b] - ahead[first + size][word], -4000).astype(np.int32))
+            total += np.stack([np.bincount(piece, use[:, k], self.size + 1) for k in range(p.shape[1])], 1)
+        return total
+
+
+def portions(words: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
+    """(places, whether long) of words that are taken together; a longer word than fits is alone."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    for long in (False, True):
+        at = np.flatnonzero((size > PLAIN_CHARS) == long)
+        room = np.cumsum(size[at]) // CHARS_AT_ONCE
+        new = np.concatenate([[0], np.flatnonzero(np.diff(room)) + 1, [len(at)]]) if len(at) else np.zeros(1, int)
+        for i, j in zip(new, new[1:]):
+            for k in range(i, j, WORDS_AT_ONCE):
+                yield at[k : min(j, k + WORDS_AT_ONCE)], long
 
 
 @dataclass
@@ -128,10 +169,7 @@ def lattice(path: str) -> Lattice:
 
 
 def words_of(text: str) -> list[str]:
-    found = WORD.findall(text.lower())
-    if found and max(map(len, found)) > WORD_CHARS:
-        found = [w[i : i + WORD_CHARS] for w in found for i in range(0, len(w), WORD_CHARS)]
-    return found
+    return WORD.findall(text.lower())
 
 
 class _Memo(dict):
@@ -142,10 +180,12 @@ class _Memo(dict):
         self.model, self.lattice = model, lattice(model.path)
         self.rows = np.zeros((1024, len(model.languages)))
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         self[word] = i = len(self)
         self.new.append(word)
+        self.chars += len(word)
         return i
 
     def fill(self) -> None:
@@ -153,15 +193,14 @@ class _Memo(dict):
             at = len(self) - len(self.new)
             while len(self.rows) < len(self):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            for i in range(0, len(self.new), 5_000):
-                part = self.new[i : i + 5_000]
-                self.rows[at + i : at + i + len(part)] = self.lattice.forward(part, self.model.p)
+            self.rows[at : at + len(self.new)] = self.lattice.forward(self.new, self.model.p)
             self.new = []
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """Log probability of each text in each language."""
-        if len(self) > WORDS_KEPT:
+        if len(self) > WORDS_KEPT or self.chars > CHARS_KEPT:
             self.clear()
+            self.chars = 0
         found = [list(map(self.__getitem__, words_of(t))) for t in texts]
         self.fill()
         out = np.zeros((len(texts), self.rows.shape[1]))
@@ -214,8 +253,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             for batch in batches:
                 words = batch.column(0).to_pylist()
                 uses = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-                for i in range(0, len(words), 5_000):
-                    total += net.expected(words[i : i + 5_000], uses[i : i + 5_000], q)
+                total += net.expected(words, uses, q)
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
         total = np.zeros((v, k))

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import documents, empty, frame, prose
 from pyspark.sql import functions as F
@@ -254,6 +255,39 @@ def test_isotonic_is_ascending_and_keeps_means():
     assert (np.diff(p) > 0).all() and (np.diff(c) > 0).all() and 0 <= p.min() <= p.max() <= 1
 
 
+def test_weights_of_isotonic_count_as_rows():
+    rng = np.random.default_rng(4)
+    x, y = np.sort(rng.normal(size=60)), rng.integers(0, 2, 60).astype(float)
+    n = rng.integers(1, 5, 60)
+    c, p = quality.isotonic(x, y, n.astype(float))
+    many_c, many_p = quality.isotonic(np.repeat(x, n), np.repeat(y, n))
+    assert np.allclose(np.interp(x, c, p), np.interp(x, many_c, many_p), atol=1e-9)
+
+
+def test_quality_fits_normal_equations_of_all_its_rows(spark):
+    """Against a plain fit on every row: one id and text on a third of the rows weighs as often."""
+    rnd = random.Random(9)
+    rows = [(i, prose(i, rnd.randint(5, 80)) + (" ###" if i % 3 == 0 else "")) for i in range(200)]
+    rows += [(7, rows[7][1])] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    truth = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(200)], "doc_id long, quality int")
+    model = quality.fit(df, truth)
+    import zlib
+    mine = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    stats = quality.statistics(pa.array([t for _, t in mine]))
+    y = np.array([float(i % 3 != 0) for i, _ in mine])
+    scale = stats.std(0)
+    plain = quality.Model(stats.mean(0), np.where(scale > 1e-9, scale, 1.0), None, None, None)
+    assert np.allclose(model.mean, plain.mean) and np.allclose(model.scale, plain.scale, atol=1e-6)
+    x = model.features(stats)
+    a = x.T @ x
+    beta = np.linalg.solve(a + quality.RIDGE * max(a[-1, -1], 1) / quality.FEATURES * np.eye(len(a)), x.T @ y)
+    assert np.allclose(x @ model.beta, x @ beta, atol=1e-6)
+    # a bound below the rows: a hot id brings no more than about that many numbers
+    small = quality.fit(df, truth, train_rows=40)
+    assert len(small.x) <= 80 and all(0 <= r.score <= 1 for r in quality.scored(df, small).collect())
+
+
 def brute_log(word, p, net, pieces):
     """Sum over all segmentations, by recursion."""
     text = langid.START + word
@@ -284,6 +318,41 @@ def test_forward_sums_every_segmentation():
     assert np.allclose((use * net.length[:, None]).sum(0), sum(len(w) + 1 for w in words))
 
 
+def test_words_of_any_length_are_summed_whole():
+    import public_tokenizers
+    net = langid.lattice(public_tokenizers.path(langid.VOCABULARY))
+    pieces = {w: net.trie.get(w) for w in net.trie.keys()}
+    most = max(map(len, pieces))
+    rng = np.random.default_rng(2)
+    # the second language gives most pieces next to nothing, so its sum leaves a double's range soon
+    p = np.vstack([np.stack([rng.dirichlet(np.ones(net.size)), rng.dirichlet(np.full(net.size, 0.01)) + 1e-12], 1), np.full((1, 2), langid.UNKNOWN)])
+
+    def by_logs(word):
+        text = langid.START + word
+        total = np.full((len(text) + 1, 2), -np.inf)
+        total[0] = 0
+        for i in range(len(text)):
+            total[i + 1] = np.logaddexp(total[i + 1], total[i] + np.log(langid.UNKNOWN))
+            for j in range(i + 1, min(i + most, len(text)) + 1):
+                k = pieces.get(text[i:j])
+                if k is not None:
+                    total[j] = np.logaddexp(total[j], total[i] + np.log(p[k]))
+        return total[-1]
+
+    letters = "abcdefghijklmnopqrstuvwxyzäß漢字的是不了人我在有他这"
+    words = ["the", "a" * 5000, "".join(rng.choice(list(letters), 5000)), "x" * langid.PLAIN_CHARS, "x" * (langid.PLAIN_CHARS + 1), "haus" * 40]
+    assert langid.words_of(" ".join(words)) == words
+    assert np.allclose(net.forward(words, p), [by_logs(w) for w in words], rtol=1e-10)
+    use = net.expected(words, np.full((len(words), 2), 2.0), p)
+    assert np.allclose((use * net.length[:, None]).sum(0), 2.0 * sum(len(w) + 1 for w in words))
+    # both ways give the same where both can
+    first, size, a, b, piece = net.edges(words[:1] + words[3:4])
+    for back in (False, True):
+        plain, _ = net._sweep(first, size, a, b, piece, p, back)
+        value, power = net._scaled(first, size, a, b, piece, p, back)
+        assert np.allclose(np.ldexp(value, power.astype(np.int32)), plain, rtol=1e-12, atol=0)
+
+
 def test_language_of_awkward_rows(spark):
     rows = [(i, prose(i, 60, ["the", "and", "with", "that", "house"]) if i % 2 else prose(i, 60, ["der", "und", "mit", "dass", "haus"]),
              "en" if i % 2 else "de") for i in range(80)]
