@@ -139,6 +139,20 @@ class Context:
         return self._get("preds_knn", lambda: cut_lineage(
             predict_knn(self.held_fits(), self.pool(), self.held(), REPEAT).withColumn("model", F.lit(ml.KNN))))
 
+    def predictions_trees(self) -> DataFrame:
+        """Trees by leaf and by level on every repeat's held-out rows, all repeats grown together.
+        Thousands of short jobs, so no query of the catalog builds it."""
+        from pyspark.sql import functions as F
+        from fillwise.operators import forest
+        from fillwise.operators.backtest import REPEAT
+        from fillwise.session import cut_lineage
+
+        def build():
+            parts = [forest.held_predictions(self.pool(), self.held(), REPEAT, self.held_fits().medians, self.params.n_repeats, rule)
+                     .withColumn("model", F.lit(name)) for name, rule in forest.MODELS.items()]
+            return cut_lineage(parts[0].unionByName(parts[1]))
+        return self._get("preds_trees", build)
+
 
 def context(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir, params)
