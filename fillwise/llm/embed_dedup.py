@@ -3,9 +3,11 @@
 Unit vectors are rotated by a fixed random rotation and split into ``BLOCKS`` blocks of
 dimensions. cosine >= t means a squared distance of at most 2 (1 - t), so in some block the
 squared distance is at most that block's share of it, in proportion to its dimensions. Each
-block is range-joined under its share: its first ``GRID`` coordinates are cut into cells as
-wide as twice the radius, a vector stands in its own cell and looks into the neighbouring
-cells that its radius reaches and that come before its own. What a cell finds is verified at
+block is range-joined under its share: a tree of cutting planes, at medians of a bounded sample
+of ``SAMPLE`` vectors, parts the block's space into cells, the more the more vectors a label has
+(about ``LEAF`` a cell, down to ``DEPTH`` levels; the sample moves the planes, never the result).
+A vector stands in its own cell and looks into the earlier cells that are no farther from it than
+its radius, all coordinates of the block together. What a cell finds is verified at
 once on the original vectors, in double precision; a pair that several blocks find counts
 only in the first of them. So no pair is missed, none counts twice, and no pair leaves the
 task: a task returns per vector its number of links and its root within the task.
@@ -31,19 +33,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillwise.llm.common import out_batches, ship, stored
+from fillwise.llm.common import out_batches, ship, small_side, stored
 from fillwise.llm.components import components
 from fillwise.llm.vectors import matrix, usable
 
 COSINE = 0.98
 BLOCKS = 8
-GRID = 2
+#: Vectors whose places set the planes, and the fewest of them in a cell.
+SAMPLE = 20_000
+NODE = 4
+#: Rows of a label that a cell should hold, and most levels of planes.
+LEAF = 256
+DEPTH = 12
 #: Rows of a cell in one part.
 PART = 2000
 TILE = 256
 SLACK = 1e-9
 SEED = 11
 
+#: A tree that cuts nothing, for vectors of a length that the sample lacks.
+WHOLE = (np.full(2, -1, np.int16), np.zeros(2))
+
 _ROTATIONS: dict[int, np.ndarray] = {}
 
 
@@ -72,32 +82,53 @@ def shares(dim: int, cosine: float) -> tuple[list[slice], np.ndarray]:
     return spans, np.array([total * (s.stop - s.start) / dim for s in spans])
 
 
-def cells(z: np.ndarray, span: slice, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell key, is its own cell): own cells and the earlier ones within the radius."""
-    radius = np.sqrt(share) * (1 + 1e-6)
-    x = z[:, span][:, :GRID] / (2 * radius)
-    own = np.floor(x).astype(np.int64)
-    lo, hi = np.floor(x - 0.5).astype(np.int64), np.floor(x + 0.5).astype(np.int64)
-    rows, keys, home = [], [], []
-    choices = [(lo, own, hi)] * x.shape[1]
-    seen = np.arange(len(z))
-    for pick in np.ndindex(*[3] * x.shape[1]):
-        cell = np.stack([choices[g][k][:, g] for g, k in enumerate(pick)], 1)
-        # a coordinate reaches one neighbour at most: lo or hi equals its own otherwise
-        real = np.ones(len(z), bool)
-        for g, k in enumerate(pick):
-            if k != 1:
-                real &= cell[:, g] != own[:, g]
-        before = np.zeros(len(z), bool)
-        same = np.ones(len(z), bool)
-        for g in range(x.shape[1]):
-            before |= same & (cell[:, g] < own[:, g])
-            same &= cell[:, g] == own[:, g]
-        take = real & (before | same)
-        rows.append(seen[take])
-        keys.append(cell[take])
-        home.append(same[take])
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
+def planes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A tree of cutting planes over sampled rows of a block, as a heap (node i has the children 2i
+    and 2i + 1, the root is 1): coordinate (-1: not cut) and place, at the median of the widest coordinate."""
+    depth = int(np.clip(np.log2(max(len(x), 1) / NODE), 0, DEPTH))
+    axis, place = np.full(2 << depth, -1, np.int16), np.zeros(2 << depth)
+    held = {1: x}
+    for node in range(1, 1 << depth):
+        rows = held.pop(node, x[:0])
+        if len(rows) < 2:
+            continue
+        wide = rows.var(0)
+        j = int(np.argmax(wide))
+        t = float(np.median(rows[:, j]))
+        right = rows[:, j] > t
+        if wide[j] > 0 and right.any():
+            axis[node], place[node] = j, t
+            held[2 * node], held[2 * node + 1] = rows[~right], rows[right]
+    return axis, place
+
+
+def cells(x: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, is its own cell): the own cell of each row of a block, ``depth`` (of its label) levels down,
+    and the earlier cells that the ball of the share around it may reach."""
+    axis, place = tree
+    limit = share * (1 + 1e-6)
+    row, node = np.arange(len(x)), np.ones(len(x), np.int64)
+    home, away = np.ones(len(x), bool), np.zeros_like(x)
+    done: list[tuple] = []
+    level = 0
+    while len(row):
+        j = axis[node]
+        last = (j < 0) | (level >= depth[row])
+        done.append((row[last], node[last], home[last]))
+        row, node, home, away, j = row[~last], node[~last], home[~last], away[~last], j[~last]
+        off = x[row, j] - place[node]
+        right = off > 0
+        # the near side keeps its distance; the far side lies at least |off| away along this coordinate
+        far = away.copy()
+        at = np.arange(len(row))
+        far[at, j] = np.maximum(far[at, j], np.abs(off))
+        # right of the own path cells come later: those rows look over here
+        reach = ((far**2).sum(1) <= limit) & ~(home & ~right)
+        row, home = np.concatenate([row, row[reach]]), np.concatenate([home, np.zeros(reach.sum(), bool)])
+        node = np.concatenate([2 * node + right, 2 * node[reach] + ~right[reach]])
+        away = np.concatenate([away, far[reach]])
+        level += 1
+    return tuple(np.concatenate(c) for c in zip(*done)) if done else (row, node, home)
 
 
 def linked(z: np.ndarray, x: np.ndarray, block: int, home: np.ndarray, lookers: slice, own: np.ndarray, ids: np.ndarray,
@@ -148,20 +179,26 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
         F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     heads = (every.join(classes, ["label", "digest"]).where(F.col("vec_id") == F.col("node"))
              .select("node", "label", "copies", "v", "digest").dropDuplicates(["node", "label", "digest"]))
+    trees = _trees(heads)
+    # rows of a label are counted once a label, after the copies are one row
+    deep = F.greatest(F.ceil(F.log2(F.col("rows") / LEAF)), F.lit(0)).cast("int").alias("deep")
+    depths = small_side(stored(heads.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).select("label", deep)))
     schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("v", pa.binary()), ("grp", pa.int64()), ("blk", pa.int32()), ("own", pa.bool_())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
             for batch in batches:
-                node, labels, copies, v = (c.to_pylist() for c in batch.columns)
+                node, labels, copies, v, depth = (c.to_pylist() for c in batch.columns)
                 by_dim: dict[int, list[int]] = {}
                 for i, b in enumerate(v):
                     by_dim.setdefault(len(b) // 4, []).append(i)
                 for dim, at in by_dim.items():
                     z = rotated(matrix([v[i] for i in at], dim))
                     spans, share = shares(dim, cosine)
+                    deep = np.array([depth[i] for i in at])
                     for c, s in enumerate(spans):
-                        for r, cell, own in zip(*(x.tolist() for x in cells(z, s, share[c]))):
+                        tree = trees[dim][c] if dim in trees else WHOLE
+                        for r, cell, own in zip(*(x.tolist() for x in cells(z[:, s], tree, deep, share[c]))):
                             i = at[r]
                             # groups are told apart by a hash; strangers in one group fail the exact check
                             g = xxhash.xxh3_64_intdigest(f"{labels[i]}|{dim}|{c}|{cell}") - (1 << 63)
@@ -169,7 +206,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
         yield from out_batches(out(), schema)
 
-    placed = stored(heads.select("node", "label", "copies", "v").mapInArrow(
+    placed = stored(heads.join(depths, "label").select("node", "label", "copies", "v", "deep").mapInArrow(
         place, "node long, copies long, v binary, grp long, blk int, own boolean"))
     size = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("own").cast("int")).alias("homes"))
     size = size.where((F.col("members") > 1) & (F.col("homes") > 0)).select("grp", F.ceil(F.col("members") / PART).cast("int").alias("parts"))
@@ -224,6 +261,19 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
         component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
+def _trees(heads: DataFrame) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Per vector length, each block's planes, from a sample of ``SAMPLE`` rows by hash."""
+    some = heads.select("v", F.xxhash64("digest", F.lit(SEED)).alias("h")).orderBy("h").limit(SAMPLE).collect()
+    of: dict[int, list[bytes]] = {}
+    for r in some:
+        of.setdefault(len(r["v"]) // 4, []).append(bytes(r["v"]))
+    out = {}
+    for dim, v in of.items():
+        z = rotated(matrix(v, dim))
+        out[dim] = [planes(z[:, span]) for span in shares(dim, COSINE)[0]]
+    return out
+
+
 def _roots(pairs: np.ndarray) -> dict[int, int]:
     """The smallest node that each node of the pairs reaches through them."""
     nodes, at = np.unique(pairs, return_inverse=True)

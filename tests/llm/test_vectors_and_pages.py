@@ -33,9 +33,10 @@ def usable(v):
     return v and all(c is not None and np.isfinite(c) for c in v) and any(v)
 
 
-@pytest.mark.parametrize("part", [3000, 9])
-def test_embedding_links_equal_brute_force(spark, monkeypatch, part):
+@pytest.mark.parametrize("part, leaf", [(3000, 256), (9, 256), (3000, 6)])
+def test_embedding_links_equal_brute_force(spark, monkeypatch, part, leaf):
     monkeypatch.setattr(embed_dedup, "PART", part)
+    monkeypatch.setattr(embed_dedup, "LEAF", leaf)
     rows = vectors()
     got = sorted((tuple(r) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
     links, parent = {i: 0 for i, *_ in rows}, {i: i for i, *_ in rows}
@@ -69,6 +70,39 @@ def test_blocks_never_miss_a_pair():
     assert (cos >= 0.98).any() and found[cos >= 0.98].all()
 
 
+def test_cells_of_a_block_meet_every_near_pair_once():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(700, 8)), np.repeat(rng.normal(size=(3, 8)), 60, 0)]) * 0.125
+    tree = embed_dedup.planes(x[::2])
+    share = 0.005
+    for depth in (0, 3, 20):
+        row, cell, home = embed_dedup.cells(x, tree, np.full(len(x), depth), share)
+        own = np.zeros(len(x), np.int64)
+        own[row[home]] = cell[home]
+        assert home.sum() == len(x) and len(set(zip(row.tolist(), cell.tolist()))) == len(row)
+        looks = set(zip(row[~home].tolist(), cell[~home].tolist()))
+        near = np.argwhere(np.triu(((x[:, None] - x[None]) ** 2).sum(2) <= share, 1))
+        assert len(near) > 5000
+        for u, v in near.tolist():
+            assert (own[u] == own[v]) + ((u, own[v]) in looks) + ((v, own[u]) in looks) == 1
+    assert embed_dedup.cells(x[:0], tree, np.zeros(0, int), share)[0].size == 0
+    assert (embed_dedup.planes(x[:0])[0] == -1).all() and (embed_dedup.planes(np.ones((500, 8)))[0] == -1).all()
+
+
+def test_compared_share_falls_with_the_rows():
+    share = []
+    for n in (2000, 8000):
+        z = embed_dedup.rotated(np.random.default_rng(1).normal(size=(n, 64)))
+        depth, met = int(np.ceil(np.log2(n / embed_dedup.LEAF))), 0
+        for span, w in zip(*embed_dedup.shares(64, 0.98)):
+            _, cell, home = embed_dedup.cells(z[:, span], embed_dedup.planes(z[:, span]), np.full(n, depth), w)
+            _, at = np.unique(cell, return_inverse=True)
+            own, every = np.bincount(at, home), np.bincount(at)
+            met += (own * (own - 1) / 2 + own * (every - own)).sum()
+        share.append(met / (n * (n - 1) / 2))
+    assert share[1] < 0.6 * share[0]
+
+
 def test_nearest_neighbours_recall_and_order(spark):
     rows = vectors(5, 1500)
     df = spark.createDataFrame(rows, SCHEMA)
