@@ -64,11 +64,11 @@ def rotation(dim: int) -> np.ndarray:
     return _ROTATIONS[dim]
 
 
-def rotated(x: np.ndarray) -> np.ndarray:
-    """Unit vectors, rotated; the result of a row doesn't depend on the rows beside it."""
+def rotated(x: np.ndarray, span: slice = slice(None)) -> np.ndarray:
+    """Unit vectors, rotated, or a span of their coordinates; a row's doesn't depend on the rows beside it."""
     unit = x / np.sqrt((x**2).sum(1))[:, None]
-    r = rotation(x.shape[1])
-    out = np.zeros_like(unit)
+    r = rotation(x.shape[1])[:, span]
+    out = np.zeros((len(x), r.shape[1]))
     for j in range(x.shape[1]):
         out += unit[:, j : j + 1] * r[j]
     return out
@@ -131,11 +131,11 @@ def cells(x: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: np.ndarray,
     return tuple(np.concatenate(c) for c in zip(*done)) if done else (row, node, home)
 
 
-def linked(z: np.ndarray, x: np.ndarray, block: int, home: np.ndarray, lookers: slice, own: np.ndarray, ids: np.ndarray,
+def linked(x: np.ndarray, block: int, home: np.ndarray, lookers: slice, own: np.ndarray, ids: np.ndarray,
            cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked (home row, looking row) pairs of a cell that no earlier block finds."""
-    spans, share = shares(z.shape[1], cosine)
-    zb = np.ascontiguousarray(z[:, spans[block]])
+    spans, share = shares(x.shape[1], cosine)
+    zb = rotated(x, spans[block])
     square = (zb**2).sum(1)
     norm = np.sqrt((x**2).sum(1))
     base = lookers.start
@@ -147,7 +147,10 @@ def linked(z: np.ndarray, x: np.ndarray, block: int, home: np.ndarray, lookers:
         a, b = np.nonzero(near)
         for k in range(0, len(a), 20_000):
             u, v = h[a[k : k + 20_000]], b[k : k + 20_000] + base
-            d = (z[u] - z[v]) ** 2
+            # only what the block finds is rotated whole
+            rows, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+            z = rotated(x[rows])
+            d = (z[at[: len(u)]] - z[at[len(u) :]]) ** 2
             first = np.full(len(u), -1)
             for c in range(block, -1, -1):
                 first[d[:, spans[c]].sum(1) <= share[c]] = c
@@ -211,11 +214,12 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     size = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("own").cast("int")).alias("homes"))
     size = size.where((F.col("members") > 1) & (F.col("homes") > 0)).select("grp", F.ceil(F.col("members") / PART).cast("int").alias("parts"))
     open_ = placed.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # home rows fill the parts p, looking rows the parts q; rows of an own cell do both
+    # home rows fill the parts p, looking rows the parts q; rows of an own cell do both, and go
+    # once where the cell is one part
     every_part = F.sequence(F.lit(0), F.col("parts") - 1)
     as_home = open_.where("own").withColumn("q", F.explode(every_part)).withColumn("p", F.col("part")).withColumn("home", F.lit(True))
-    as_look = open_.withColumn("p", F.explode(every_part)).withColumn("q", F.col("part")).withColumn("home", F.lit(False))
-    columns = ["node", "copies", "v", "grp", "blk", "own", "home", "p", "q"]
+    as_look = open_.where(~F.col("own") | (F.col("parts") > 1)).withColumn("p", F.explode(every_part)).withColumn("q", F.col("part")).withColumn("home", F.lit(False))
+    columns = ["node", "copies", "v", "grp", "blk", "own", "home", "parts", "p", "q"]
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"node": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
@@ -224,21 +228,21 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
         for dim in np.unique(dims):
             g = group[dims == dim]
             home = g["home"].to_numpy()
-            if not home.any() or home.all():
+            whole = int(g["parts"].iloc[0]) == 1
+            if not home.any() or (home.all() and not whole):
                 continue
             node, copies, own = g["node"].to_numpy(), g["copies"].to_numpy(), g["own"].to_numpy() | home
             x = matrix(g["v"].tolist(), int(dim))
-            z = rotated(x)
             at_home = np.flatnonzero(home)
             look = np.flatnonzero(~home)
             # positions: homes first, then the looking rows
             order = np.concatenate([at_home, look])
-            x, z, node, copies, own = x[order], z[order], node[order], copies[order], own[order]
+            x, node, copies, own = x[order], node[order], copies[order], own[order]
             links = np.zeros(len(order), np.int64)
             pairs = []
             hx = np.arange(len(at_home))
-            lookers = slice(len(at_home), None)
-            for u, v in linked(z, x, int(g["blk"].iloc[0]), hx, lookers, own, node, cosine):
+            lookers = slice(0 if whole else len(at_home), None)
+            for u, v in linked(x, int(g["blk"].iloc[0]), hx, lookers, own, node, cosine):
                 np.add.at(links, u, copies[v])
                 np.add.at(links, v, copies[u])
                 pairs.append(np.stack([node[u], node[v]], 1))
