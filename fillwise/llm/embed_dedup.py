@@ -217,9 +217,13 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     # home rows fill the parts p, looking rows the parts q; rows of an own cell do both, and go
     # once where the cell is one part
     every_part = F.sequence(F.lit(0), F.col("parts") - 1)
-    as_home = open_.where("own").withColumn("q", F.explode(every_part)).withColumn("p", F.col("part")).withColumn("home", F.lit(True))
-    as_look = open_.where(~F.col("own") | (F.col("parts") > 1)).withColumn("p", F.explode(every_part)).withColumn("q", F.col("part")).withColumn("home", F.lit(False))
-    columns = ["node", "copies", "v", "grp", "blk", "own", "home", "parts", "p", "q"]
+    none = F.array().cast("array<struct<home:boolean,p:int,q:int>>")
+
+    def role(home: bool):
+        return lambda i: F.struct(F.lit(home).alias("home"), *([F.col("part").alias("p"), i.alias("q")] if home else [i.alias("p"), F.col("part").alias("q")]))
+    roles = F.concat(F.when(F.col("own"), F.transform(every_part, role(True))).otherwise(none),
+                     F.when(~F.col("own") | (F.col("parts") > 1), F.transform(every_part, role(False))).otherwise(none))
+    dealt = open_.withColumn("role", F.explode(roles)).select("node", "copies", "v", "grp", "blk", "own", "role.home", "parts", "role.p", "role.q")
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"node": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
@@ -252,8 +256,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
                 out.append(pd.DataFrame({"node": node[some], "links": links[some], "root": [root[n] for n in node[some].tolist()]}))
         return pd.concat(out) if out else empty
 
-    found = stored(as_home.select(columns).unionByName(as_look.select(columns))
-                   .groupBy("grp", "p", "q").applyInPandas(join, "node long, links long, root long"))
+    found = stored(dealt.groupBy("grp", "p", "q").applyInPandas(join, "node long, links long, root long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     final = stored(components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     known = (classes.join(links, "node", "left").join(final, "node", "left")
