@@ -32,6 +32,7 @@ from fillwise.config import COHORT, MONTH, STREAMS, TARGET
 from fillwise.functions.joins import attach_scalars, lookup_join
 from fillwise.functions.quantiles import exact_quantiles
 from fillwise.functions.safe import non_negative
+from fillwise.session import cut_lineage
 
 LAGS = ("gross_lag_1", "streams_lag_1", "epsr_lag_1")
 
@@ -124,6 +125,20 @@ def fit_predict_linear(train: DataFrame, score: DataFrame, alpha: float | None =
         "_p", "features", *[c for c in sc.columns if c.startswith("_")])
 
 
+#: Train rows of one task of a tree fit.
+FIT_ROWS = 1 << 16
+
+
+def _fit_rows(encoded: DataFrame, label: str) -> DataFrame:
+    """Features and label of a tree fit, encoded once and in as many parts as their number needs.
+
+    Every level of every tree is a job over all parts, whose tasks carry the plan back to the
+    last written table: the encoders' functions, if the rows are not written first."""
+    rows = cut_lineage(encoded.select("features", label))
+    parts = -(-rows.count() // FIT_ROWS)
+    return rows.repartition(parts) if parts > 1 else rows.coalesce(1)
+
+
 def fit_predict_gbt(train: DataFrame, score: DataFrame, wide: bool = False, seed: int = 42,
                     out: str = "pred", rounds: int = 350) -> DataFrame:
     """M5 / M6: boosted trees on log1p(revenue), expm1 back, clipped at 0."""
@@ -134,7 +149,7 @@ def fit_predict_gbt(train: DataFrame, score: DataFrame, wide: bool = False, seed
     gbt = GBTRegressor(featuresCol="features", labelCol="_y", predictionCol="_p", maxIter=rounds, stepSize=0.04,
                        maxDepth=5 if wide else 4, minInstancesPerNode=30 if wide else 6,
                        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    model = gbt.fit(tr)
+    model = gbt.fit(_fit_rows(tr, "_y"))
     return (model.transform(sc).withColumn(out, non_negative(F.expm1("_p")))
             .drop("_p", "features", *[c for c in sc.columns if c.startswith("_")]))
 

@@ -62,6 +62,36 @@ def test_gbt_plumbing(spark):
     assert len(preds) == score.count() and (preds >= 0).all()
 
 
+def _tree_tasks(spark, train, score, group):
+    """Predictions of a short tree fit and the task counts of its stages that grow trees."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    preds = _preds(ml.fit_predict_gbt(train, score, rounds=3))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return preds, [s.numTasks for s in stages if s and "RandomForest.scala" in s.name]
+
+
+def test_tree_fit_has_tasks_by_rows_not_by_parts_of_its_input(spark, monkeypatch):
+    train, score = _frames(spark)
+    preds, tasks = _tree_tasks(spark, train.repartition(8), score, "few-rows")
+    assert len(preds) == score.count() and tasks and set(tasks) == {1}
+    n = train.count()
+    monkeypatch.setattr(ml, "FIT_ROWS", -(-n // 3))
+    preds, tasks = _tree_tasks(spark, train.coalesce(1), score, "more-rows")
+    assert len(preds) == score.count() and max(tasks) == 3
+
+
+def test_tree_fit_reads_encoded_rows_from_a_table(spark):
+    train, score = _frames(spark)
+    tr, _ = ml._features(train, score)
+    encoded = ml._tree_encoder(ml.TREE_NUMERIC).fit(tr).transform(tr).withColumnRenamed("total_gross_amount", "_y")
+    rows = ml._fit_rows(encoded, "_y")
+    assert "UDF" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, encoded.select("features", "_y").collect()))
+
+
 def test_all_repeats_in_one_job_match_single_fits(spark):
     from fillwise.plans.context import context
     ctx = context(spark, "/root/testdata/sf0.001")
