@@ -26,18 +26,20 @@ empty table, or one without frequent phrases, gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from fillwise.llm import textblocks
 from fillwise.llm.common import out_batches, ship, stored
+from fillwise.session import ARROW_BYTES
 
 #: Words, and phrases of a level, that get ids at most.
 RANKED = 1 << 18
@@ -50,6 +52,13 @@ DENSE = 1 << 20
 GATHER = 1 << 18
 #: Words of blocks that a task gathers before it puts them together.
 WORDS_HELD = 500_000
+#: Words of a row of encoded text, if its pieces allow: rows of some MB are kept whole by the page,
+#: outside the heap, where Spark writes and reads them.
+ROW_WORDS = 1 << 14
+#: Counted words of a batch.
+WORD_ROWS = 10_000
+#: Bytes of rows that a task hands to Python at once.
+HANDED = "2m"
 #: Pairs that share a bucket of coordinates, about.
 BUCKET = 1 << 20
 #: Parts of a dense tile that are added at once.
@@ -145,14 +154,16 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held = [merged()]
                 size = len(held[0][0])
                 if 2 * size > WORDS_HELD:
-                    yield _word_batch(*held[0])
+                    yield from _word_batches(*held[0])
                     held, size = [], 0
     if held:
-        yield _word_batch(*merged())
+        yield from _word_batches(*merged())
 
 
-def _word_batch(code: np.ndarray, n: np.ndarray, word: pa.Array, lang: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang, word, pa.array(code), pa.array(n)], schema=_COUNTED)
+def _word_batches(code: np.ndarray, n: np.ndarray, word: pa.Array, lang: pa.Array) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([lang, word, pa.array(code), pa.array(n)], schema=_COUNTED)
+    for at in range(0, len(code), WORD_ROWS):
+        yield whole.slice(at, WORD_ROWS)
 
 
 # --- ids
@@ -349,8 +360,8 @@ def _counted(left: np.ndarray, right: np.ndarray, left_ids: Ids, right_ids: Ids,
 # --- levels
 
 def _encode(docs: DataFrame, known) -> DataFrame:
-    """Each text as ids of its words (int32; -1 opens a piece or stands for words that are too
-    seldom, -2 - k for the k-th hashed code in ``more``)."""
+    """The texts as ids of their words (int32; -1 opens a piece or stands for words that are too
+    seldom, -2 - k for the k-th hashed code in ``more``), in rows of whole pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("ids", pa.binary()), ("more", pa.binary())])
 
@@ -363,15 +374,24 @@ def _encode(docs: DataFrame, known) -> DataFrame:
                     at = np.arange(len(code)) + np.cumsum(w.opens)  # a break before every piece
                     seq = np.full(len(code) + int(w.opens.sum()), NONE, I64)
                     seq[at] = code
-                    hashed = seq < 0
-                    small = np.where(seq == NONE, -1, np.where(hashed, -1 - np.cumsum(hashed), seq)).astype(np.int32)
-                    yield small.tobytes(), seq[hashed].tobytes()
+                    for part in _rows(seq, at[w.opens] - 1):
+                        hashed = part < 0
+                        small = np.where(part == NONE, -1, np.where(hashed, -1 - np.cumsum(hashed), part)).astype(np.int32)
+                        yield small.tobytes(), part[hashed].tobytes()
 
         yield from out_batches(rows(), schema)
 
     return docs.mapInArrow(run, "ids binary, more binary")
 
 
+def _rows(seq: np.ndarray, breaks: np.ndarray) -> Iterator[np.ndarray]:
+    """``seq`` cut at breaks (ascending, the first at 0) into rows of about ``ROW_WORDS``; a longer piece stays whole."""
+    edges = [*np.searchsorted(breaks, np.arange(0, len(seq), ROW_WORDS)).tolist(), len(breaks)]
+    places = np.unique(np.append(breaks, len(seq))[edges])
+    for a, b in zip(places, places[1:]):
+        yield seq[a:b]
+
+
 def _sequence(ids: bytes, more: bytes) -> np.ndarray:
     seq = np.frombuffer(ids, np.int32).astype(I64)
     seq[seq == -1] = NONE
@@ -519,14 +539,29 @@ class Counts:
     phrases: DataFrame
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands rows to Python ``HANDED`` at a time."""
+    ship(spark)
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, HANDED)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+
+
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = MIN_COUNT, longest: int = LONGEST,
                   ranked: int = RANKED, bits: int = BITS) -> Counts:
     """All phrases of 1 to ``longest`` words that occur at least ``least`` times in their language."""
     if not 0 < ranked <= RANKED:
         raise ValueError(f"ranked must be 1 to {RANKED}")
+    with _small_batches(docs.sparkSession):
+        return _count_phrases(docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")), least, longest, ranked, bits)
+
+
+def _count_phrases(docs: DataFrame, least: int, longest: int, ranked: int, bits: int) -> Counts:
     spark = docs.sparkSession
-    ship(spark)
-    docs = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     every = stored(docs.mapInArrow(_count_words, "lang string, word string, code long, n long")
                    .groupBy("lang", "word").agg(F.max("code").alias("code"), F.sum("n").alias("f")))
     frequent = stored(every.where(F.col("f") >= least))

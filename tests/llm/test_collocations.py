@@ -94,3 +94,49 @@ def test_addresses_lead_back(sizes):
     back = collocations.located(at, x, x)
     assert (back[0] == left).all() and (back[1] == right).all()
     assert ((at & ((1 << collocations.LOCAL_BITS) - 1)) < [collocations._area(t) for t in (at >> collocations.LOCAL_BITS).tolist()]).all()
+
+
+def test_encoded_rows_are_of_bounded_size(spark, monkeypatch):
+    """Blocks of texts were one row each, which a page of the written table held by the hundred."""
+    piece = "der hund und die katze "
+    docs = [(f"{piece * 20}. " * 300, "de")] * 4 + [(piece * 5000, "de"), (None, "de"), ("", None), (" ,; ", "en")]
+    df = spark.createDataFrame(docs, "text string, lang string")
+    seen = []
+    real = collocations.stored
+
+    def stored(table):
+        out = real(table)
+        if table.columns == ["ids", "more"]:
+            seen.extend(len(r.ids) // 4 for r in out.collect())
+        return out
+    monkeypatch.setattr(collocations, "stored", stored)
+    assert sorted(map(tuple, collocations.collocations(df).select(COLUMNS).collect())) == brute(docs)
+    assert sum(seen) == 4 * 300 * 101 + 25_001
+    assert sorted(seen)[-1] == 25_001 and sorted(seen)[-2] <= collocations.ROW_WORDS + 101
+
+
+def test_rows_are_cut_at_pieces_only():
+    breaks = np.array([0, 3, 10_000, 40_000, 40_005, 50_000])
+    seq = np.arange(60_000)
+    parts = list(collocations._rows(seq, breaks))
+    assert (np.concatenate(parts) == seq).all() and all(p[0] in breaks for p in parts)
+    assert [p[0] for p in parts] == [0, 40_000, 50_000]
+    assert list(collocations._rows(seq[:0], breaks[:0])) == []
+
+
+def test_word_counts_come_in_bounded_batches():
+    import pyarrow as pa
+    text = " ".join(f"w{i}" for i in range(25_000))
+    out = list(collocations._count_words(iter([pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["en"])], ["text", "lang"])])))
+    assert max(b.num_rows for b in out) <= 10_000 and sum(b.num_rows for b in out) == 25_000
+
+
+def test_batch_size_of_the_session_is_left_as_it_was(spark):
+    from fillwise.session import ARROW_BYTES
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, "7m")
+    try:
+        collocations.count_phrases(spark.createDataFrame([("a b " * 20, "en")], "text string, lang string"))
+        assert spark.conf.get(ARROW_BYTES) == "7m"
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
