@@ -91,6 +91,31 @@ def test_frequent_passages_take_the_window_route(spark, monkeypatch):
     assert have == brute_suffix(docs)
 
 
+def test_suffix_blocks_of_a_group_share_their_messages(spark, monkeypatch):
+    """Messages are groups times shards, not blocks times shards; groups and pieces change no result."""
+    kept = []
+    monkeypatch.setattr(suffix, "stored", lambda df, store=suffix.stored: kept.append(store(df)) or kept[-1])
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 2000)
+    docs = [(i, prose(100 + i // 2, 20) + " " + prose(77, 12) + " " + prose(300 + i // 3, 15)) for i in range(120)]
+    docs += [(None, docs[5][1]), (7, docs[9][1]), (200, ""), (201, None), (202, "a" * 2500), (203, "b" + "a" * 1200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+
+    def result():
+        del kept[:]
+        got = suffix.remove_repeats(df).collect()
+        return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str)
+
+    want = brute_suffix(docs)
+    assert result() == want
+    assert kept[0].count() > 10 and kept[-1].count() <= 64
+    monkeypatch.setattr(suffix, "GROUP_BYTES", 9000)
+    monkeypatch.setattr(suffix, "TEXT_BYTES", 3000)
+    assert result() == want
+    assert kept[0].select("grp").distinct().count() > 2 and kept[-1].where("piece > 0").count() > 0
+    monkeypatch.setattr(suffix, "HOT_BLOCKS", 5)
+    assert result() == want
+
+
 def test_suffix_array_and_prefixes():
     rnd = random.Random(3)
     for _ in range(200):
